@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from ribolith.llm import bpe, mixing, sharding, simhash
+from ribolith.llm import bpe, html, langid, mixing, sharding, simhash, toxicity
 from ribolith.llm.common import table
 
 
+def op1_tag_paths(spark, sf_dir):
+    return html.report(table(spark, sf_dir, "pages"))
+
+
+def op3_toxicity_trees(spark, sf_dir):
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_byte_cnn(spark, sf_dir):
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -24,5 +36,5 @@ def op10_simhash(spark, sf_dir):
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op6_cube_mixing, op8_ring_shards, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op6_cube_mixing, op8_ring_shards, op10_simhash)}
 ORACLES: dict[str, str] = {}
