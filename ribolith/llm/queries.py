@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ribolith.llm import bpe, html, langid, mixing, sharding, simhash, toxicity
+from ribolith.llm import bpe, html, langid, maxscore, mixing, nndescent, sharding, simhash, toxicity
 from ribolith.llm.common import table
 
 
@@ -28,6 +28,14 @@ def op6_cube_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op7_maxscore(spark, sf_dir):
+    return maxscore.report(table(spark, sf_dir, "embeddings"))
+
+
+def op9_nn_descent(spark, sf_dir):
+    return nndescent.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_ring_shards(spark, sf_dir):
     return sharding.report(table(spark, sf_dir, "documents"))
 
@@ -36,5 +44,5 @@ def op10_simhash(spark, sf_dir):
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op6_cube_mixing, op8_ring_shards, op10_simhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op6_cube_mixing, op7_maxscore, op8_ring_shards, op9_nn_descent, op10_simhash)}
+ORACLES: dict[str, str] = {"op7_maxscore": maxscore.ORACLE}
