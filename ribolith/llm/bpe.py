@@ -245,9 +245,17 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", out:
 
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256 of the ids in decimal, decoded_sha256 of the decoded bytes."""
-    coded = decode(encode(df.select("doc_id", "text"), path, pattern, keep_text=False), path, pattern)
+    return _digests(decode(encode(df.select("doc_id", "text"), path, pattern, keep_text=False), path, pattern), ["doc_id"])
+
+
+def encoded(df: DataFrame, path: str, pattern: str) -> DataFrame:
+    """The columns of `df`, the token ids and their digests."""
+    return _digests(decode(encode(df, path, pattern), path, pattern), [*df.columns, "token_ids"])
+
+
+def _digests(coded: DataFrame, keep: list[str]) -> DataFrame:
     return coded.select(
-        "doc_id",
+        *keep,
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

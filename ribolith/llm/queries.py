@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ribolith.llm import bpe, html, langid, maxscore, mixing, nndescent, sharding, simhash, toxicity
+from ribolith.llm import bpe, html, langid, maxscore, mixing, nndescent, sharding, simhash, substrings, toxicity
 from ribolith.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_collinear_chains(spark, sf_dir):
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op6_cube_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,14 @@ def op10_simhash(spark, sf_dir):
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op6_cube_mixing, op7_maxscore, op8_ring_shards, op9_nn_descent, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op5_collinear_chains, op6_cube_mixing, op7_maxscore, op8_ring_shards, op9_nn_descent, op10_simhash)}
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
 ORACLES: dict[str, str] = {"op7_maxscore": maxscore.ORACLE}
