@@ -21,9 +21,9 @@ from ribolith.llm.common import Stage
 from ribolith.llm.vectors import matrix, usable
 
 #: Neighbours of a node; groups of the start and their largest size; most rounds, and the share of changes that ends them.
-NEIGHBOURS, STARTS, GROUP, ROUNDS, ENOUGH = 30, 4, 60, 5, 0.02
-#: Beam of a query, nodes that it expands in a round, and most rounds.
-BEAM, EXPAND, STEPS = 100, 25, 5
+NEIGHBOURS, STARTS, GROUP, ROUNDS, ENOUGH = 36, 4, 60, 7, 0.01
+#: Least beam of a query (it grows with the square root of the nodes), share of it that a round expands, and most rounds.
+BEAM, EXPAND, STEPS = 100, 4, 6
 #: Lists that are compared at once in a task.
 SLICE = 64
 
@@ -136,14 +136,15 @@ def build_graph(nodes: DataFrame, stage: Stage, neighbours: int = NEIGHBOURS) ->
     return graph.select("a", "b", "sim")
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, stage: Stage, beam: int = BEAM) -> DataFrame:
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, stage: Stage) -> DataFrame:
     """Beams (q, b, sim) of the query nodes `queries` (q) after greedy search from their own nodes."""
+    beam = max(BEAM, math.ceil(math.sqrt(nodes.count())))
     edges = stage.write(graph.select("a", "b").unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     vectors = nodes.select("node", "vec")
     wanted = stage.write(queries.join(vectors.withColumnRenamed("node", "q"), "q").select("q", F.col("vec").alias("qvec")))
     state = stage.write(wanted.select("q", F.col("q").alias("b"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done")))
     for _ in range(STEPS):
-        todo = _top(state.where("not done"), "q", [F.desc("sim"), "b"], EXPAND).select("q", F.col("b").alias("at"))
+        todo = _top(state.where("not done"), "q", [F.desc("sim"), "b"], beam // EXPAND).select("q", F.col("b").alias("at"))
         reached = todo.join(edges.withColumnRenamed("a", "at"), "at").select("q", "b").distinct()
         new = reached.join(state.select("q", "b"), ["q", "b"], "left_anti")
         scored = _similar(new.join(wanted, "q").join(vectors.withColumnRenamed("node", "b"), "b").select("q", "b", "qvec", "vec"))
