@@ -5,7 +5,7 @@ r - floor(r). The cube method turns these probabilities into decisions: the flig
 the null space of the constraints (token total and document total), so both totals keep their expected values exactly,
 until no more documents than constraints are fractional. Flights run in blocks of bounded size, side by side in Spark; the
 few fractional documents that each block leaves meet in the next level's blocks. The landing decides the last ones of each
-source, at most one block, by the rounding that is nearest to the token target.
+source, at most one block, by the rounding that is nearest to the token target, with a few exchanges inside that block.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ WEIGHTS = (3, 1, 2)
 #: Rows of a flight's block: its memory bound.
 BLOCK = 2048
 EPS = 1e-9
+#: Decisions that a source's landing may exchange.
+EXCHANGES = 8
 
 
 def shares(sizes: dict, budget: float, most: float = 2.0, weights=WEIGHTS) -> dict:
@@ -80,20 +82,31 @@ def _null(a):
 
 
 def _block(rows, last: bool, seed: int):
-    """One block's flight; in the last level also its landing. Rows are put in an order that does not depend on Spark."""
+    """One block's flight; in the last level also its landing.
+
+    Long documents stay fractional longest, so rounding them would miss the token target by up to half of one. The landing
+    therefore goes on with a few exchanges of the last block's decisions, each the one that comes nearest to the target.
+    The order and the chance depend on the rows alone, not on Spark.
+    """
     import numpy as np
 
-    rows = rows.sort_values(["u", "size", "copies"], kind="stable").reset_index(drop=True)
+    rows = rows.sort_values(["size", "u", "copies"], ascending=False, kind="stable").reset_index(drop=True)
     p, size = rows["p"].to_numpy(copy=True), rows["size"].to_numpy("float64")
     rng = np.random.default_rng([seed, int(rows["u"].iloc[0]) & 0xFFFFFFFF, len(rows)])
     x = np.vstack([size / max(1.0, size.max()), np.ones(len(p))])
-    expected = float(p @ size)
+    expected, start = float(p @ size), p.copy()
     flight(p, x, rng)
     if last:
         flight(p, x[:1], rng)  # the document total is let go first
         for i in np.flatnonzero((p > 0) & (p < 1)):
             p[i] = 0.0
             p[i] = float(abs(p @ size + size[i] - expected) < abs(p @ size - expected))
+        for _ in range(EXCHANGES if ((start > 0) & (start < 1)).all() else 0):
+            gap = expected - float(p @ size)
+            left = np.abs(gap - np.where(p == 0.0, size, -size))
+            if left.min() >= abs(gap):
+                break
+            p[left.argmin()] = 1.0 - p[left.argmin()]
     rows["p"] = p
     return rows
 

@@ -1,7 +1,7 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A lexicon is learnt from the labelled training rows: Spark counts in how many toxic and other texts each word and word
-beginning stands, and terms with high smoothed log-odds stay. The features of a text are the densities of lexicon words, how
+The lexicon is a short fixed list of insults and what the labelled training rows teach: Spark counts in how many toxic and
+other texts each word and word beginning stands, and terms with high smoothed log-odds stay. The features of a text are the densities of lexicon words, how
 many stand near a second person, and the rates of capitals, punctuation and obfuscated spellings. Histogram trees are
 boosted in numpy on a bounded sample of feature rows; a separate part of the sample calibrates their sums by isotonic
 regression. Texts are scored in the executors.
@@ -30,6 +30,13 @@ SECOND = frozenset(
     "you your yours yourself u ur du dich dir dein deine deinen deiner ihr euch euer eure sie tu te toi ton ta tes vous "
     "votre vos tú ti tus usted ustedes vosotros vuestro os".split()
 )
+#: Common insults, in the lexicon whatever the labels say, and their log-odds there at least.
+INSULTS = frozenset(
+    "idiot idiots moron morons stupid dumb fool imbecile loser losers pathetic worthless disgusting trash garbage scum clown "
+    "jerk bastard dumbass idiotisch dumm dummkopf abschaum arschloch trottel versager widerlich wertlos connard idiote imbécile "
+    "stupide crétin abruti nul ordure débile estúpido idiota imbécil tonto basura escoria inútil asqueroso patético".split()
+)
+PRIOR = 3.0
 #: Characters that stand for letters in obfuscated spellings.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "*": "", "+": "t"})
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -73,7 +80,7 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
     odds = F.log((F.col("bad") + 0.5) / (total["bad"] + 1.0)) - F.log((F.col("n") - F.col("bad") + 0.5) / (clean + 1.0))
     kept = sums.where(F.col("bad") >= SUPPORT).withColumn("odds", odds).where(F.col("odds") >= ODDS)
     best = kept.orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "term").limit(size)
-    return {r["term"]: float(r["odds"]) for r in best.collect()}
+    return dict.fromkeys(INSULTS, PRIOR) | {r["term"]: max(float(r["odds"]), PRIOR * (r["term"] in INSULTS)) for r in best.collect()}
 
 
 class Features:
