@@ -28,7 +28,7 @@ from ribolith.llm.common import with_arrow
 #: Characters of a leaf of the text tree, and bytes of a leaf inside a piece.
 LEAF_CHARS, LEAF_BYTES = 8192, 4
 #: Entries that a worker's memo holds, twice at most.
-MEMO = 250_000
+MEMO = 100_000
 _loaded: dict = {}
 #: ASCII and Latin letters: texts of these alone are cut by the standard library's faster engine, where the letters and
 #: digits among them stand for the two Unicode classes of a split pattern.

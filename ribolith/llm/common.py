@@ -84,7 +84,7 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
         mark = tuple(seen)
 
 
-def with_arrow(df: DataFrame, source: str, name: str, kind, fn, keep_source: bool = True, rows: int = 512) -> DataFrame:
+def with_arrow(df: DataFrame, source: str, name: str, kind, fn, keep_source: bool = True, rows: int = 256) -> DataFrame:
     """`df` with column `name` of type `kind`, made by ``fn(column: pyarrow.Array) -> pyarrow.Array`` from column `source`.
 
     `fn` runs in the executors on slices of at most `rows` rows, so memory follows the slice and not the Arrow batch. A

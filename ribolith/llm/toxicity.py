@@ -62,17 +62,18 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
 
         import pyarrow as pa
 
-        for b in batches:
-            seen, bad = Counter(), Counter()
-            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                own = {t for w in set(TOKEN.findall((text or "").lower())) for t in terms(w)}
-                seen.update(own)
-                if toxic:
-                    bad.update(own)
-            names = list(bad)  # a term without a toxic text can't pass
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[t] for t in names], pa.int64()), pa.array([bad[t] for t in names], pa.int64())], names=["term", "n", "bad"])
-            rest = [t for t in seen if t not in bad]
-            yield pa.RecordBatch.from_arrays([pa.array(rest, pa.string()), pa.array([seen[t] for t in rest], pa.int64()), pa.array([0] * len(rest), pa.int64())], names=["term", "n", "bad"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                seen, bad = Counter(), Counter()
+                for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
+                    own = {t for w in set(TOKEN.findall((text or "").lower())) for t in terms(w)}
+                    seen.update(own)
+                    if toxic:
+                        bad.update(own)
+                names = list(seen)
+                numbers = (pa.array([n[t] for t in names], pa.int64()) for n in (seen, bad))
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *numbers], names=["term", "n", "bad"])
 
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
     clean = total["n"] - total["bad"]
@@ -90,7 +91,7 @@ class Features:
         from ribolith.llm.bpe import _Memo
 
         self.lexicon = lexicon
-        self.memo = _Memo(lambda word: max((lexicon.get(t, 0.0) for t in terms(word)), default=0.0), 100_000)
+        self.memo = _Memo(lambda word: max((lexicon.get(t, 0.0) for t in terms(word)), default=0.0), 50_000)
 
     def __call__(self, text: str | None) -> list[float]:
         import numpy as np
