@@ -212,18 +212,21 @@ def codec(path: str, pattern: str) -> Codec:
     return _loaded[path, pattern]
 
 
+def _lists(rows: list[list[int]]):
+    """An Arrow list column of the rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    ends = np.cumsum([0, *map(len, rows)]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(rows), "int32", int(ends[-1]))))
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", keep_text: bool = True) -> DataFrame:
     """`df` with the token ids (array<int>) of the whole `text`. A null or empty text has no tokens."""
 
     def run(column):
-        import numpy as np
-        import pyarrow as pa
-
         own = codec(path, pattern)
-        made = [[] if x is None else own.encode(x) for x in column.to_pylist()]
-        ends = np.cumsum([0, *map(len, made)]).astype("int32")
-        flat = np.fromiter(chain.from_iterable(made), "int32", int(ends[-1]))
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        return _lists([[] if x is None else own.encode(x) for x in column.to_pylist()])
 
     return with_arrow(df, text, ids, T.ArrayType(T.IntegerType()), run, keep_text)
 
@@ -235,22 +238,36 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", out:
         import pyarrow as pa
 
         own = codec(path, pattern)
-        flat, ends = column.flatten().to_pylist(), [0]
-        for n in column.value_lengths().to_pylist():
-            ends.append(ends[-1] + (n or 0))
-        return pa.array([own.decode(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
+        return pa.array([own.decode(x or []) for x in column.to_pylist()], pa.binary())
 
     return with_arrow(df, ids, out, T.BinaryType(), run)
 
 
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """`df` with token_ids and the bytes `decoded` from them, in one pass and thus one Python worker for a task."""
+    kind = T.StructType([T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+
+    def run(column):
+        import pyarrow as pa
+
+        own = codec(path, pattern)
+        rows = [[] if x is None else own.encode(x) for x in column.to_pylist()]
+        return pa.StructArray.from_arrays([_lists(rows), pa.array(map(own.decode, rows), pa.binary())], names=["token_ids", "decoded"])
+
+    coded = with_arrow(df, text, "__coded", kind, run, keep_text)
+    others = [c for c in coded.columns if c not in ("__coded", "token_ids", "decoded")]
+    return coded.select(*others, "__coded.token_ids", "__coded.decoded")
+
+
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256 of the ids in decimal, decoded_sha256 of the decoded bytes."""
-    return _digests(decode(encode(df.select("doc_id", "text"), path, pattern, keep_text=False), path, pattern), ["doc_id"])
+    return _digests(round_trip(df.select("doc_id", "text"), path, pattern, keep_text=False), ["doc_id"])
 
 
 def encoded(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The columns of `df`, the token ids and their digests."""
-    return _digests(decode(encode(df, path, pattern), path, pattern), [*df.columns, "token_ids"])
+    """The columns of `df`, the token ids and their digests; columns of these names are replaced."""
+    made = ("token_ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")
+    return _digests(round_trip(df, path, pattern), [*(c for c in df.columns if c not in made), "token_ids"])
 
 
 def _digests(coded: DataFrame, keep: list[str]) -> DataFrame:

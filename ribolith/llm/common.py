@@ -104,10 +104,25 @@ def with_arrow(df: DataFrame, source: str, name: str, kind, fn, keep_source: boo
                 part = whole.slice(at, rows)
                 made = fn(part.column(source))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), made], names=[*names, name])
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Gives a Python worker's free memory back at the end of a task, as workers live on beside the next stage's tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def as_bytes(column) -> list:
     """The UTF-8 bytes of an Arrow string column, nulls as b''."""
     import pyarrow as pa
