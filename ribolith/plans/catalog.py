@@ -246,13 +246,12 @@ def translations(spark, sf_dir):
     return T.dna(spark, sf_dir).select("doc_id", S.translate_codons(F.col("seq")).alias("aa"))
 
 
-@_query(T.ctes("dna") + """, short as (select doc_id, substring(seq, 1, 600) seq from dna), i as (select doc_id, seq, unnest(range(1, greatest(length(seq) - 1, 1))) as start from short),
-s as (select *, regexp_extract_all(substring(seq, start), '...') cs from i where regexp_matches(substring(seq, start, 3), '^[ACTG]TG$')),
-e as (select doc_id, start, substring(seq, start, 3) codon, least(coalesce(nullif(list_position(cs, 'TAA'), 0), 1000000), coalesce(nullif(list_position(cs, 'TAG'), 0), 1000000), coalesce(nullif(list_position(cs, 'TGA'), 0), 1000000)) k from s)
-select doc_id, cast(start as integer) as start, cast(start + 3 * k - 1 as integer) as "end", codon from e where k < 1000000 and k - 1 >= 10""")
+@_query(T.ctes("dna") + """, b as (select doc_id, unnest(string_split(seq, '')) x, generate_subscripts(string_split(seq, ''), 1) i from dna where length(seq) > 0),
+c as (select doc_id, i, x || lead(x, 1) over w || lead(x, 2) over w codon from b window w as (partition by doc_id order by i)),
+e as (select *, min(i) filter (codon in ('TAA', 'TAG', 'TGA')) over (partition by doc_id, i % 3 order by i rows between current row and unbounded following) stop from c)
+select doc_id, cast(i as integer) as start, cast(stop + 2 as integer) as "end", codon from e where codon in ('ATG', 'CTG', 'TTG', 'GTG') and (stop - i) / 3 >= 10""")
 def open_reading_frames(spark, sf_dir):
-    rows = T.dna(spark, sf_dir).select("doc_id", F.substring("seq", 1, 600).alias("seq"))
-    return rows.select("doc_id", F.explode(S.find_orfs(F.col("seq"), 10)).alias("o")).select("doc_id", "o.start", "o.end", "o.codon")
+    return T.dna(spark, sf_dir).select("doc_id", F.explode(S.find_orfs(F.col("seq"), 10)).alias("o")).select("doc_id", "o.start", "o.end", "o.codon")
 
 
 @_query(T.ctes("protein") + """ select doc_id, array_to_string(list_reverse(regexp_extract_all(aa, '([KR]*[^KR]|[KR]+$)')), '') decoy from protein""")
