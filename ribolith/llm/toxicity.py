@@ -182,12 +182,13 @@ def fit(docs: DataFrame, labels: DataFrame, stage: Stage, rows: int = ROWS) -> t
     """(lexicon, trees, calibration) from the labelled documents whose checksum leaves no remainder 1 by 3.
 
     Of labels that repeat a doc_id the largest counts; null labels and null doc_ids take no part. The lexicon counts all
-    training rows; trees and calibration see about `rows` of them, chosen by a hash, a quarter of which calibrates.
+    training rows; trees and calibration see about `rows` of them, chosen by a hash, a quarter of which calibrates. Labels
+    grow with the documents and are never broadcast, so the join's plan is the same at every size.
     """
     import numpy as np
 
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = docs.where(fold(3) != 1).select("doc_id", "text").join(marks, "doc_id")
+    known = docs.where(fold(3) != 1).select("doc_id", "text").join(marks.hint("merge"), "doc_id")
     known = stage.write(known.select("text", F.col("toxic").cast("int"), F.xxhash64("doc_id", F.lit(9)).alias("u")))
     lexicon = learn_lexicon(known.select("text", "toxic"))
     total = known.count()
