@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ribolith.functions import sequence as S
 from ribolith.operators import alignments as A
 from ribolith.operators import counts as C
+from ribolith.operators import curves as K
 from ribolith.operators import database as D
 from ribolith.operators import identifications as I
 from ribolith.operators import intervals as J
+from ribolith.operators import startsites as P
 from ribolith.operators import variants as V
 from ribolith.sources import adapters as T
 from ribolith.sources import files as W
@@ -397,3 +399,60 @@ def bedgraph_lines(spark, sf_dir):
 @_query(T.ctes("protein") + """ select doc_id, cast(ntile(5) over (order by doc_id) as integer) part from protein""")
 def split_database(spark, sf_dir):
     return W.split_parts(T.protein(spark, sf_dir), 5, "doc_id").select("doc_id", "part")
+
+
+
+@_query("with fl as (" + ORACLES["floss_scores"] + """), w as (select row_number() over o as rank, count(*) over r n, avg(nreads) over r mean_reads, quantile_cont(floss, 0.25) over r q1,
+quantile_cont(floss, 0.5) over r median, quantile_cont(floss, 0.75) over r q3 from fl window o as (order by nreads, feature_id), r as (order by nreads, feature_id rows between 49 preceding and current row))
+select rank, round(mean_reads, 8) mean_reads, round(q1, 8) q1, round(median, 8) median, round(q3, 8) q3, round(q3 + 3 * (q3 - q1), 8) extreme from w where n = 50""")
+def rolling_extremes(spark, sf_dir):
+    return K.rolling_extreme(floss_scores(spark, sf_dir), width=50)
+
+
+@_query(T.ctes("psms") + """, b as (select q, count(*) filter (label = 'O') n from psms group by 1), c as (select q, cast(sum(n) over (order by q) as bigint) targets from b)
+select q, targets, round(targets * (1 - q), 6) true_positives from c""")
+def identification_curve(spark, sf_dir):
+    return K.identification_curve(T.psms(spark, sf_dir).withColumn("target", F.col("label") == "O"))
+
+
+@_query(T.ctes("psms") + """, a as (select distinct protein_id, peptide from psms where label = 'O' and q < 0.05), b as (select distinct protein_id, peptide from psms where label = 'F' and q < 0.05)
+select (select count(*) from (select * from a except select * from b)) only_a, (select count(*) from (select * from a intersect select * from b)) overlap,
+(select count(*) from (select * from b except select * from a)) only_b""")
+def psm_addition(spark, sf_dir):
+    kept = T.psms(spark, sf_dir).where("q < 0.05")
+    return K.set_overlap(kept.where("label = 'O'"), kept.where("label = 'F'"), ["protein_id", "peptide"])
+
+
+@_query("with g as (" + ORACLES["frame_metrics"] + """), d as (select spread x, log10(ifc_stat) y from g where spread > 0 and ifc_stat > 0),
+m as (select avg(x) mx, avg(y) my from d), s as (select count(*) n, sum(x - mx) s1, sum((x - mx) ** 2) s2, sum((x - mx) ** 3) s3, sum((x - mx) ** 4) s4,
+sum((x - mx) * (y - my)) t1, sum((x - mx) ** 2 * (y - my)) t2, sum((y - my) ** 2) vv, max(mx) mx, max(my) my from d cross join m),
+f as (select *, (s2 * t2 - s3 * t1) / (s2 * s4 - s2 * s2 * s2 / n - s3 * s3) a from s), h as (select *, (t1 - a * s3) / s2 b from f)
+select round(my - a * s2 / n - b * mx + a * mx * mx, 4) c0, round(b - 2 * a * mx, 4) c1, round(a, 4) c2, round((b * t1 + a * t2) / vv, 4) r2 from h""")
+def dispersion_fit(spark, sf_dir):
+    return K.poly_regression(frame_metrics(spark, sf_dir), "spread", "ifc_stat")
+
+
+_STARTS = {"aTIS": (1, 0.01), "5UTR": (2, 0.05), "CDS": (2, 0.15), "3UTR": (2, 0.05), "ntr": (2, 0.05)}
+_NEAR = "regexp_full_match(substring(seq, {}, 3), '[ACTG]TG|A[ACTG]G|AT[ACTG]')"
+
+
+@_query(T.ctes("psite", "exons", "dna") + f""", {_CDNA},
+hits as (select transcript_id, c.cdna_start + case when p.strand = 1 then p.start - exon_start else exon_end - p.start end cdna, coalesce(sum(cnt) filter (rpf % 2 = 0), 0) ltm, coalesce(sum(cnt) filter (rpf % 2 = 1), 0) chx
+ from psite p join cd c on p.chr = c.chr and p.strand = c.strand and p.start between exon_start and exon_end group by 1, 2),
+cds as (select transcript_id, 31 a, sum(exon_end - exon_start + 1) - 30 z from exons where transcript_id % 3 <> 0 group by 1 having z > 60),
+tot as (select transcript_id, sum(ltm) tl, sum(chx) tc from hits group by 1 having tl > 0),
+s as (select h.*, seq, case when {_NEAR.format('cdna::int')} then 0 when cdna > 1 and {_NEAR.format('cdna::int - 1')} then -1 when {_NEAR.format('cdna::int + 1')} then 1 end sh
+ from hits h join dna on doc_id = transcript_id where ltm > 0),
+p as (select s.transcript_id, s.cdna + sh at_, min(substring(seq, (s.cdna + sh)::int, 3)) codon, string_agg(case sh when 1 then '+1' else sh::varchar end, ' ' order by s.cdna) peak_shift, sum(ltm) cnt, sum(chx) chx from s where sh is not null group by 1, 2),
+n as (select p.*, case when a is null then 'ntr' when at_ < a then '5UTR' when at_ = a then 'aTIS' when at_ > z then '3UTR' else 'CDS' end annotation, at_ - a dist, max(cnt) over (partition by transcript_id order by at_ range between 1 preceding and 1 following) top from p left join cds using (transcript_id)),
+g as (select n.*, 10 * (cnt * 30.0::double / tl) - case when tc > 0 then 10 * (chx * 30.0::double / tc) else 0 end r, case annotation when 'aTIS' then 1 else 2 end least, case annotation when 'aTIS' then 0.01 when 'CDS' then 0.15 else 0.05 end bar from n join tot using (transcript_id)),
+c as (select *, cnt >= least and cnt >= top and r >= bar good from g)
+select transcript_id, at_ cdna, annotation, dist::bigint dist_to_atis, codon, peak_shift, cnt::bigint cnt, round(r, 6) r, case when annotation <> 'aTIS' then 'NA' when good then 'True' else 'False' end atis_call from c where good or annotation = 'aTIS'
+union all select transcript_id, a, 'aTIS', 0, substring(seq, a, 3), null, null, null, 'no_data' from cds join tot using (transcript_id) left join dna on doc_id = transcript_id where transcript_id not in (select transcript_id from n where annotation = 'aTIS')""")
+def start_sites(spark, sf_dir):
+    exons = T.exons(spark, sf_dir)
+    reads = lambda odd: F.coalesce(F.sum(F.when(F.col("rpf") % 2 == odd, F.col("cnt"))), F.lit(0))
+    points = T.psite(spark, sf_dir).groupBy("chr", "strand", "start").agg(reads(0).alias("ltm"), reads(1).alias("chx"))
+    hits = C.exon_hits(points, exons).groupBy("transcript_id", "cdna").agg(F.sum("ltm").alias("ltm"), F.sum("chx").alias("chx"))
+    cds = exons.where("transcript_id % 3 <> 0").groupBy("transcript_id").agg((F.sum(F.expr("exon_end - exon_start + 1")) - 30).alias("cds_end")).where("cds_end > 60")
+    return P.call_starts(hits, T.dna(spark, sf_dir).withColumnRenamed("doc_id", "transcript_id"), cds.withColumn("cds_start", F.lit(31)), _STARTS)

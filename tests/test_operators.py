@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from ribolith.functions import sequence as S
 from ribolith.operators import alignments as A
+from ribolith.operators import curves as K
 from ribolith.operators import database as D
 from ribolith.operators import intervals as J
+from ribolith.operators import startsites as P
 from ribolith.operators import variants as V
 from ribolith.sources import files as W
 
@@ -72,3 +74,30 @@ def test_sam_gtf_vcf(spark, tmp_path):
     assert (g["strand"], g["gene_id"], g["transcript_id"], g["gene_name"]) == (-1, "g1", "t1", None)
     (tmp_path / "x.vcf").write_text("##h\n#CHROM\n1\t7\t.\tA\tG\t9\n")
     assert tuple(W.read_vcf(spark, str(tmp_path / "x.vcf")).first()) == ("1", 7, "A", "G")
+
+
+def test_rolling_extreme_block_size_does_not_matter(spark):
+    rows = spark.createDataFrame([(i, i % 17, (i * 37 % 101) / 8) for i in range(120)], "feature_id long, nreads long, floss double")
+    got = [sorted(map(tuple, K.rolling_extreme(rows, width=10, block=b).collect())) for b in (7, 10, 50, 1000)]
+    assert got[0] == got[1] == got[2] == got[3] and [r[0] for r in got[0]] == list(range(10, 121))
+
+
+def test_poly_regression_is_least_squares(spark):
+    import numpy as np
+
+    x = np.arange(1, 30) / 10
+    y = 0.5 + 0.25 * x - 0.125 * x**2 + np.sin(x * 9) / 20
+    rows = spark.createDataFrame([(float(a), float(10**b)) for a, b in zip(x, y)] + [(-1.0, 5.0), (1.0, 0.0)], "x double, y double")
+    got = K.poly_regression(rows, "x", "y").first()
+    assert np.allclose([got["c2"], got["c1"], got["c0"]], np.polyfit(x, y, 2), atol=1e-4)
+    flat = K.poly_regression(rows.where("x in (0.1, 0.2)"), "x", "y").first()
+    assert flat["c2"] is None
+
+
+def test_start_sites(spark):
+    seq = "CCATGCCCCCCCTGCCCC"  # ATG at 3, CTG at 12
+    hits = spark.createDataFrame([(1, 2, 4, 0), (1, 3, 6, 1), (1, 12, 9, 0), (1, 8, 50, 0), (2, 5, 1, 0), (3, 4, 0, 9)], "transcript_id long, cdna long, ltm long, chx long")
+    sequences = spark.createDataFrame([(i, seq) for i in (1, 2, 3)], "transcript_id long, seq string")
+    cds = spark.createDataFrame([(1, 3, 15), (2, 3, 15), (3, 3, 15)], "transcript_id long, cds_start int, cds_end int")
+    got = {(r["transcript_id"], r["cdna"]): (r["annotation"], r["codon"], r["peak_shift"], r["cnt"], r["atis_call"]) for r in P.call_starts(hits, sequences, cds, {k: (5, -999.0) for k in P.THRESHOLDS}).collect()}
+    assert got == {(1, 3): ("aTIS", "ATG", "+1 0", 10, "True"), (1, 12): ("CDS", "CTG", "0", 9, "NA"), (2, 3): ("aTIS", "ATG", None, None, "no_data")}
