@@ -17,8 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else one under the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; without it a job fails before it writes anywhere else."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return path
 
 
 class Stage:
@@ -123,6 +126,12 @@ def release() -> None:
         trim(0)
 
 
+def free_names(columns: list):
+    """A function that turns a name into one that `columns` lack."""
+    taken = {c.lower() for c in columns}
+    return lambda x: next(n for k in range(len(taken) + 1) if (n := f"__{x}{k or ''}") not in taken)
+
+
 def as_bytes(column) -> list:
     """The UTF-8 bytes of an Arrow string column, nulls as b''."""
     import pyarrow as pa

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ribolith.llm.common import WORD, Stage
+from ribolith.llm.common import WORD, Stage, free_names
 
 WEIGHTS = (3, 1, 2)
 #: Rows of a flight's block: its memory bound.
@@ -146,18 +146,21 @@ def mix(df: DataFrame, share: float = 1.5, seed: int = 11) -> tuple[DataFrame, S
     """
     spark, stage = df.sparkSession, Stage(df.sparkSession, "mix")
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    thin = stage.write(df.select("doc_id", "source", words.alias("size"), F.xxhash64("text").alias("th")))
-    sums = {r["source"]: r["n"] or 0 for r in thin.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    thin = df.select("doc_id", "source", words.alias("size"), F.xxhash64("text").alias("th"))
+    # Equal rows are counted first and numbered again afterwards, so that a row that repeats very often spreads over all blocks.
+    thin = stage.write(thin.groupBy("doc_id", "source", "size", "th").agg(F.count("*").alias("rows")))
+    sums = {r["source"]: int(r["n"] or 0) for r in thin.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("n")).collect()}
     targets = shares(sums, share * sum(sums.values()))
     order = list(targets)
     rows = [(i, s, int(sums[s]), float(targets[s])) for i, s in enumerate(order)]
     table = spark.createDataFrame(rows, "gid int, own_source string, source_size long, target double")
     known = thin.join(table, thin["source"].eqNullSafe(table["own_source"])).drop("own_source")
+    known = known.withColumn("number", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).drop("rows")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     base = F.floor(ratio + EPS).cast("int")
     known = known.withColumn("copies", base).withColumn("p", F.greatest(ratio - base, F.lit(0.0)))
     known = known.withColumn("p", F.when(F.col("p") < EPS, 0.0).otherwise(F.col("p")))
-    known = known.withColumn("u", F.xxhash64("doc_id", "th", F.lit(seed)))
+    known = known.withColumn("u", F.xxhash64("doc_id", "th", "number", F.lit(seed))).drop("number")
     decided = decide(known, stage, seed)
     taken = decided.withColumn("copies", (F.col("copies") + F.col("p")).cast("int"))
     return taken.select("doc_id", "th", "source", "size", "source_size", "target", "copies"), stage
@@ -170,17 +173,23 @@ def report(df: DataFrame) -> DataFrame:
 
 
 def apply_mix(df: DataFrame, share: float = 1.5) -> DataFrame:
-    """The rows of `df`, each as often as the mix takes it."""
-    taken, _ = mix(df.select("doc_id", "source", "text"), share)
-    # Equal rows (doc_id, source and text) are interchangeable; a number among them tells them apart.
-    same = Window.partitionBy("doc_id", "th", "source").orderBy(F.desc("copies"))
-    plan = taken.withColumn("dup", F.row_number().over(same)).where("copies > 0")
-    plan = plan.select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), F.col("source").alias("m_source"), "dup", "copies")
-    marked = df.withColumn("__th", F.xxhash64("text"))
-    own = Window.partitionBy("doc_id", "__th", "source").orderBy(F.lit(0))
-    marked = marked.withColumn("__dup", F.row_number().over(own))
-    on = (
-        marked["doc_id"].eqNullSafe(plan["m_id"]) & (marked["__th"] == plan["m_th"])
-        & marked["source"].eqNullSafe(plan["m_source"]) & (marked["__dup"] == plan["dup"])
-    )
-    return marked.join(plan, on).select(*df.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("__i")).drop("__i")
+    """The rows of `df`, each as often as the mix takes it; columns of any name are kept.
+
+    Rows equal in doc_id, source and text are interchangeable: what the mix takes of them is dealt over them evenly. Whole rows
+    move once, in the join with the thin plan; only where such rows exist they are numbered.
+    """
+    taken, stage = mix(df.select("doc_id", "source", "text"), share)
+    name = free_names(df.columns)
+    first, second, rows, copies, number, i = (name(x) for x in ("k1", "k2", "rows", "copies", "number", "i"))
+    keys = F.xxhash64("doc_id", "th", "source"), F.xxhash64(F.lit(5), "source", "th", "doc_id")
+    plan = taken.groupBy(keys[0].alias(first), keys[1].alias(second)).agg(F.count("*").alias(rows), F.sum("copies").alias(copies))
+    plan = stage.write(plan.where(F.col(copies) > 0))
+    th = F.xxhash64("text")
+    marked = df.withColumn(first, F.xxhash64("doc_id", th, "source")).withColumn(second, F.xxhash64(F.lit(5), "source", th, "doc_id"))
+    out = marked.join(plan, [first, second])
+    if plan.where(F.col(rows) > 1).isEmpty():
+        times = F.col(copies)
+    else:
+        out = out.withColumn(number, F.row_number().over(Window.partitionBy(first, second).orderBy(first)))
+        times = F.floor(F.col(copies) / F.col(rows)) + F.when(F.col(number) <= F.col(copies) % F.col(rows), 1).otherwise(0)
+    return out.withColumn(copies, times.cast("int")).where(F.col(copies) > 0).select(*df.columns, F.explode(F.sequence(F.lit(1), copies)).alias(i)).drop(i)
