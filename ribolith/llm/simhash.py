@@ -9,17 +9,21 @@ bits differ, so this loses no link, adds none, and its rows grow in proportion.
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate, combinations, repeat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ribolith.llm.common import Stage, as_bytes, components, with_arrow
+from ribolith.llm.common import Stage, as_bytes, components, free_names, release, with_arrow
+from ribolith.llm.words import mixed, word_hashes
 
 BITS = 64
 #: Shingles whose bits are counted at once, so that a very long text takes little memory.
 CHUNK = 1 << 15
+#: Words of 64 bits of a wide fingerprint.
+WIDE = 4
 
 
 def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
@@ -104,19 +108,141 @@ def report(df: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(df: DataFrame) -> DataFrame:
-    """The rows of `df` that stay when of each component only the document with its smallest doc_id does.
+def wide_fingerprints(texts: list[bytes], width: int):
+    """A row of `WIDE` unsigned 64-bit words for each text: the majority bits of its word shingles, repeats included."""
+    import numpy as np
+
+    offsets = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])]) if texts else np.zeros(0, "int64")
+    words, starts = word_hashes(b" ".join(texts).lower())
+    row = np.searchsorted(offsets, starts, "right") - 1
+    first = np.searchsorted(row, np.arange(len(texts)))
+    size = np.bincount(row, minlength=len(texts)) if len(row) else np.zeros(len(texts), "int64")
+    n = np.where(size > 0, np.maximum(size - width + 1, 1), 0)  # fewer words than a shingle are one shingle
+    doc = np.repeat(np.arange(len(texts)), n)
+    at = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+    last = first + size
+    h = np.zeros(len(at), "uint64")
+    for j in range(width):
+        there = at + j < last[doc]
+        h = h * np.uint64(0x9E3779B97F4A7C15) + np.where(there, words[np.minimum(at + j, max(len(words) - 1, 0))], np.uint64(j)) if len(words) else h
+    counts = np.zeros((len(texts), 64 * WIDE), "int64")
+    for a in range(0, len(h), CHUNK):
+        part, own = h[a : a + CHUNK], doc[a : a + CHUNK]
+        wide = np.stack([mixed(part + np.uint64((0xD6E8FEB86659FD93 * (k + 1)) % (1 << 64))) for k in range(WIDE)], axis=1)
+        bits = np.unpackbits(np.ascontiguousarray(wide).view("uint8").reshape(len(part), -1), axis=1, bitorder="little")
+        new = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        # sums of at most 255 rows fit a byte
+        cuts = np.unique(np.concatenate([new, *(np.arange(x, y, 255) for x, y in zip(new, np.append(new[1:], len(own))) if y - x > 255)]))
+        np.add.at(counts, own[cuts], np.add.reduceat(bits, cuts, axis=0, dtype="uint8").astype("int64"))
+    return np.packbits(2 * counts > n[:, None], axis=1, bitorder="little").view("<u8")
+
+
+def _thin(df: DataFrame, width: int) -> DataFrame:
+    """(doc_id, v0.. of shingles of `width` words, b0.. of word pairs, node: a hash of all) for each row of `df` (doc_id, text)."""
+    names = [f"{kind}{k}" for kind in "vb" for k in range(WIDE)]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                texts = as_bytes(b.column("text"))
+                cols = [x.view("<i8")[:, k] for x in (wide_fingerprints(texts, width), wide_fingerprints(texts, 2)) for k in range(WIDE)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c) for c in cols)], names=["doc_id", *names])
+        release()
+
+    made = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return made.withColumn("node", F.xxhash64(*names))
 
-    Rows without doc_id stay only where no row of their component has one, and then one does. Of rows that repeat a
-    doc_id one stays.
+
+def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = 64) -> DataFrame:
+    """Edges (a, b) between `nodes` (node, v0.., b0..) whose fingerprints v differ in at most `distance` bits.
+
+    Nodes meet on a block of 16 bits of b. A block value that more than `crowd` nodes share is split by each of the three blocks
+    after it; where even two blocks are shared by more, all of them are compared with the one of them with the least node, so
+    rows grow in proportion however large a group of copies is.
     """
-    thin, stage = near_duplicates(df.select("doc_id", "text"), keep_text=False)
-    keep = stage.write(thin.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").agg(F.count("*").alias("n")))
-    again = keep.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1")
+    blocks = [F.shiftrightunsigned(f"b{k}", 16 * i).bitwiseAND(0xFFFF) for k in range(WIDE) for i in range(4)]
+    n = len(blocks)
+    verify = [f"v{k}" for k in range(WIDE)]
+    one = nodes.select("node", *verify, F.array(*blocks).alias("blocks"))
+    keyed = one.select("node", *verify, "blocks", F.posexplode("blocks").alias("i", "x")).withColumn("key", F.col("i") * 65536 + F.col("x"))
+    keyed = _counted(keyed, stage)
+    few = keyed.where(F.col("n") <= crowd).select("node", *verify, "key")
+    pairs = stage.write(_close(few, few, ["key"], verify, distance))
+    deeper = keyed.where(F.col("n") > crowd).select("node", *verify, "key", F.explode(F.expr(f"transform(array(1, 2, 3), j -> j * 65536L + blocks[(i + j) % {n}])")).alias("y"))
+    deeper = _counted(deeper.withColumn("key", F.col("key").cast("long") * (1 << 20) + F.col("y")).drop("y"), stage)
+    few = deeper.where(F.col("n") <= crowd).select("node", *verify, "key")
+    more = stage.write(_close(few, few, ["key"], verify, distance))
+    many = deeper.where(F.col("n") > crowd).select("node", *verify, "key")
+    least = many.groupBy("key").agg(F.min(F.struct("node", *verify)).alias("least")).select("key", "least.*")
+    star = stage.write(_close(least, many, ["key"], verify, distance))
+    stage.drop(keyed)
+    stage.drop(deeper)
+    return pairs.unionByName(more).unionByName(star).distinct()
+
+
+def _counted(keyed: DataFrame, stage: Stage) -> DataFrame:
+    """The rows of keys that several nodes hold, with their number n."""
+    return stage.write(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+
+
+def _close(left: DataFrame, right: DataFrame, on: list, verify: list, distance: int) -> DataFrame:
+    a = left.select(*on, F.col("node").alias("a"), *(F.col(v).alias(f"x{v}") for v in verify))
+    b = right.select(*on, F.col("node").alias("b"), *verify)
+    apart = sum((F.bit_count(F.col(v).bitwiseXOR(F.col(f"x{v}"))) for v in verify), F.lit(0))
+    return a.join(b, on).where((F.col("a") < F.col("b")) & (apart <= distance)).select("a", "b").distinct()
+
+
+def bits_apart(similarity: float) -> int:
+    """Differing bits of `WIDE` words of fingerprint to expect at a Jaccard similarity of the shingles, and one standard deviation."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(64 * WIDE * share + math.sqrt(64 * WIDE * share * (1 - share)))
+
+
+def one_of_each(df: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of `df` that stay when of each group of near duplicates only the document with the smallest doc_id does.
+
+    Near duplicates are linked where `WIDE` x 64 majority bits of their shingles of `width` words differ in no more bits than `bits_apart` expects
+    at the Jaccard `similarity`; a group is what links connect. Candidates share 16 bits of such a fingerprint of word pairs, which an
+    edit changes less. Null and empty texts are copies of each other. Rows without doc_id stay only where no row of their group has
+    one, and then one does. Of rows that repeat a doc_id and a text one stays. All columns are kept, whatever their names.
+    """
+    stage = Stage(df.sparkSession, "neardup")
+    thin = stage.write(_thin(df.select("doc_id", "text"), width))
+    nodes = stage.write(thin.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in thin.columns if c not in ("node", "doc_id"))))
+    found = components(near_links(nodes, stage, bits_apart(similarity)), stage)
+    rooted = nodes.select("node", "least").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("id"), F.min("node").alias("one"))
+    stay = rooted.join(ids, "root").where(F.col("least").eqNullSafe(F.col("id")) & (F.col("id").isNotNull() | (F.col("node") == F.col("one"))))
+    name = free_names(df.columns)
+    kept_id, kept_node = name("kept_id"), name("kept_node")
+    keep = stage.write(thin.join(stay.select("node", "id"), "node").where("doc_id <=> id").groupBy("doc_id", "node").agg(F.count("*").alias("n")))
+    again = keep.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1 or doc_id is null")
     if again.isEmpty():
-        ids = keep.select(F.col("doc_id").alias("kept_id"))
-        return df.join(ids, df["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
-    marked = fingerprints(df, out="__fp")
-    ids = keep.select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"))
-    same = marked["doc_id"].eqNullSafe(ids["kept_id"]) & (marked["__fp"] == ids["kept_fp"])
-    return marked.join(ids, same, "left_semi").dropDuplicates(["doc_id", "__fp"]).drop("__fp")
+        return df.join(keep.select(F.col("doc_id").alias(kept_id)), df["doc_id"] == F.col(kept_id), "left_semi")
+    # Rows that repeat an id: their texts decide, by hashes that the thin rows had not kept.
+    h1, h2 = name("h1"), name("h2")
+    texts = _with_node(df.select("doc_id", "text"), width).join(keep.select(F.col("doc_id").alias(kept_id), F.col("node").alias(kept_node)), F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col("node") == F.col(kept_node)), "left_semi")
+    texts = texts.groupBy("doc_id", "node").agg(F.min(F.struct(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(3), "text").alias("h2"))).alias("t"))
+    texts = texts.select(F.col("doc_id").alias(kept_id), F.col("t.h1").alias(h1), F.col("t.h2").alias(h2))
+    same = df["doc_id"].eqNullSafe(F.col(kept_id)) & (F.xxhash64(df["text"]) == F.col(h1)) & (F.xxhash64(F.lit(3), df["text"]) == F.col(h2))
+    marked = df.withColumn(name("x"), F.xxhash64("text"))
+    return marked.join(texts, same, "left_semi").dropDuplicates(["doc_id", name("x")]).drop(name("x"))
+
+
+def _with_node(df: DataFrame, width: int) -> DataFrame:
+    """`df` (doc_id, text) with the hash `node` of its fingerprints."""
+
+    def run(column):
+        import pyarrow as pa
+
+        texts = as_bytes(column)
+        import numpy as np
+
+        both = np.concatenate([wide_fingerprints(texts, width), wide_fingerprints(texts, 2)], axis=1).view("<i8")
+        return pa.array(both.tolist(), pa.list_(pa.int64()))
+
+    made = with_arrow(df, "text", "f", T.ArrayType(T.LongType()), run)
+    return made.select("doc_id", "text", F.xxhash64(*(F.col("f")[k] for k in range(2 * WIDE))).alias("node"))

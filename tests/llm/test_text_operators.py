@@ -1,6 +1,7 @@
 """The text operators against brute force, the tokenizer library and planted cases."""
 
 import hashlib
+import itertools
 import random
 from collections import Counter
 
@@ -165,7 +166,20 @@ def test_passages_of_odd_documents(odd_docs, no_docs):
 
 
 def test_chain_follows_order_and_gaps():
-    assert substrings.best_chain([0, 5, 10, 15], [0, 5, 900, 15]) == [0, 1, 3]
+    def best(d, f):
+        return substrings.best_chains(d, f, [substrings.WORDS] * len(d), [1] * len(d))[0]
+
+    assert best([0, 5, 10, 15], [0, 5, 900, 15]) == [0, 1, 3]
+    rng = random.Random(2)
+    for _ in range(40):  # against all chains
+        d, f = sorted(rng.sample(range(40), 7)), [rng.randrange(40) for _ in range(7)]
+
+        def worth(chain):
+            gaps = sum(d[b] - d[a] + f[b] - f[a] - 2 * substrings.WORDS for a, b in zip(chain, chain[1:]))
+            return len(chain) - substrings.COST * gaps
+
+        every = [c for k in range(1, 8) for c in itertools.combinations(range(7), k) if all(d[a] < d[b] and f[a] < f[b] for a, b in zip(c, c[1:]))]
+        assert abs(worth(best(d, f)) - max(map(worth, every))) < 1e-9
     assert substrings.align(["a", "b", "c"], ["a", "x", "c"]) == 2
 
 
