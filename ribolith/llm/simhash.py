@@ -156,7 +156,7 @@ def _thin(df: DataFrame, width: int) -> DataFrame:
     return made.withColumn("node", F.xxhash64(*names))
 
 
-def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = 64) -> DataFrame:
+def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = 8) -> DataFrame:
     """Edges (a, b) between `nodes` (node, v0.., b0..) whose fingerprints v differ in at most `distance` bits.
 
     Nodes meet on a block of 16 bits of b. A block value that more than `crowd` nodes share is split by each of the three blocks
@@ -166,13 +166,15 @@ def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = 64) -
     blocks = [F.shiftrightunsigned(f"b{k}", 16 * i).bitwiseAND(0xFFFF) for k in range(WIDE) for i in range(4)]
     n = len(blocks)
     verify = [f"v{k}" for k in range(WIDE)]
-    one = nodes.select("node", *verify, F.array(*blocks).alias("blocks"))
-    keyed = one.select("node", *verify, "blocks", F.posexplode("blocks").alias("i", "x")).withColumn("key", F.col("i") * 65536 + F.col("x"))
-    keyed = _counted(keyed, stage)
+    keyed = nodes.select("node", *verify, F.posexplode(F.array(*blocks)).alias("i", "x"))
+    keyed = _counted(keyed.select("node", *verify, (F.col("i") * 65536 + F.col("x")).alias("key")), stage)
     few = keyed.where(F.col("n") <= crowd).select("node", *verify, "key")
     pairs = stage.write(_close(few, few, ["key"], verify, distance))
-    deeper = keyed.where(F.col("n") > crowd).select("node", *verify, "key", F.explode(F.expr(f"transform(array(1, 2, 3), j -> j * 65536L + blocks[(i + j) % {n}])")).alias("y"))
-    deeper = _counted(deeper.withColumn("key", F.col("key").cast("long") * (1 << 20) + F.col("y")).drop("y"), stage)
+    crowded = keyed.where(F.col("n") > crowd).select("node", "key")
+    deeper = crowded.join(nodes.select("node", *verify, F.array(*blocks).alias("blocks")), "node")
+    after = F.explode(F.expr(f"transform(array(1, 2, 3), j -> j * 65536L + blocks[cast(key div 65536 + j as int) % {n}])")).alias("y")
+    deeper = deeper.select("node", *verify, "key", after).withColumn("key", F.col("key").cast("long") * (1 << 20) + F.col("y")).drop("y")
+    deeper = _counted(deeper, stage)
     few = deeper.where(F.col("n") <= crowd).select("node", *verify, "key")
     more = stage.write(_close(few, few, ["key"], verify, distance))
     many = deeper.where(F.col("n") > crowd).select("node", *verify, "key")
@@ -184,15 +186,15 @@ def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = 64) -
 
 
 def _counted(keyed: DataFrame, stage: Stage) -> DataFrame:
-    """The rows of keys that several nodes hold, with their number n."""
-    return stage.write(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+    """The rows of keys that several nodes hold, with their number n. Counts grow with the nodes and are never broadcast."""
+    return stage.write(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").hint("merge"), "key"))
 
 
 def _close(left: DataFrame, right: DataFrame, on: list, verify: list, distance: int) -> DataFrame:
     a = left.select(*on, F.col("node").alias("a"), *(F.col(v).alias(f"x{v}") for v in verify))
     b = right.select(*on, F.col("node").alias("b"), *verify)
     apart = sum((F.bit_count(F.col(v).bitwiseXOR(F.col(f"x{v}"))) for v in verify), F.lit(0))
-    return a.join(b, on).where((F.col("a") < F.col("b")) & (apart <= distance)).select("a", "b").distinct()
+    return a.join(b.hint("merge"), on).where((F.col("a") < F.col("b")) & (apart <= distance)).select("a", "b").distinct()
 
 
 def bits_apart(similarity: float) -> int:
