@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ribolith.operators.intervals import cdna_position, points_in, with_cdna
+from ribolith.operators.ranges import running
 
 
 def merged(psite: DataFrame) -> DataFrame:
@@ -119,14 +120,11 @@ def phase_histogram(points: DataFrame, exons: DataFrame, bins: int = 20) -> Data
 def rank_curve(counts: DataFrame, key: str = "feature_id", value: str = "counts_sum") -> DataFrame:
     """Rank by count and cumulative share of all reads.
 
-    Ranks need the order of all genes; counts are grouped to distinct values first, so that the window sees one row for
-    each value and not for each gene.
+    Ranks need the order of all genes; counts are grouped to distinct values first, whose running sums come from ranges.
     """
     by = counts.groupBy(value).agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.desc(value))
-    before = by.withColumn("first", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.withColumn("mass", F.sum(F.col("n") * F.col(value)).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.withColumn("all", F.sum(F.col("n") * F.col(value)).over(Window.partitionBy()))
+    before = running(by, value, {"first": F.col("n"), "mass": F.col("n") * F.col(value)}, ascending=False)
+    before = before.crossJoin(F.broadcast(by.agg(F.sum(F.col("n") * F.col(value)).alias("all"))))
     place = Window.partitionBy(value).orderBy(key)
     ranked = counts.join(before, value).withColumn("k", F.row_number().over(place))
     rank = F.coalesce("first", F.lit(0)) + F.col("k")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ribolith.operators.ranges import running
+
 
 def rolling_extreme(scores: DataFrame, key: str = "feature_id", reads: str = "nreads", score: str = "floss", width: int = 200, block: int = 20_000) -> DataFrame:
     """Mean reads, quartiles of the score and q3 + 3 (q3 - q1) over each full window of `width` rows in the order of reads.
@@ -13,7 +15,7 @@ def rolling_extreme(scores: DataFrame, key: str = "feature_id", reads: str = "nr
     `width` - 1 rows before it, so that no task sees the whole order. `rank` is that of a window's last row.
     """
     by = scores.groupBy(reads).agg(F.count("*").alias("n"))
-    by = by.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy(reads).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    by = running(by, reads, {"before": F.col("n")})
     rows = scores.select(key, reads, score).join(by.drop("n"), reads)
     rows = rows.withColumn("rank", F.col("before") + F.row_number().over(Window.partitionBy(reads).orderBy(key)))
     home = F.floor((F.col("rank") - 1) / block)
@@ -30,10 +32,9 @@ def rolling_extreme(scores: DataFrame, key: str = "feature_id", reads: str = "nr
 
 
 def identification_curve(psms: DataFrame, q: str = "q", target: str = "target") -> DataFrame:
-    """Targets with at most each q, and how many of them are expected to be true (W16). The window sees distinct q only."""
+    """Targets with at most each q, and how many of them are expected to be true (W16). Running sums come from ranges of q."""
     by = psms.groupBy(q).agg(F.count_if(target).alias("n"))
-    total = F.sum("n").over(Window.orderBy(q).rowsBetween(Window.unboundedPreceding, 0))
-    rows = by.select(q, total.alias("targets"))
+    rows = running(by, q, {"before": F.col("n")}).select(q, (F.col("before") + F.col("n")).alias("targets"))
     return rows.withColumn("true_positives", F.round(F.col("targets") * (1 - F.col(q)), 6))
 
 

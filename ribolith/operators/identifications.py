@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ribolith.functions.sequence import combine_bits
+from ribolith.operators.ranges import running
 
 
 def significant(df: DataFrame, q: float = 0.05, pep: float = 0.05) -> DataFrame:
@@ -37,25 +38,28 @@ def without_subsets(df: DataFrame, group: str = "protein_id", item: str = "pepti
     """Groups whose item set is not inside another's; of equal sets the smallest group stays."""
     pairs = df.select(group, item).distinct()
     size = pairs.groupBy(group).agg(F.count("*").alias("n"))
+    # A set that holds another holds its rarest item too: only that one proposes pairs, so common items pair nobody.
+    common = pairs.groupBy(item).agg(F.count("*").alias("m"))
+    rarest = pairs.join(common, item).groupBy(group).agg(F.min_by(F.struct(item), F.struct("m", item)).alias("r")).select(F.col(group).alias("a"), f"r.{item}")
+    meant = rarest.join(pairs.withColumnRenamed(group, "b"), item).where("a <> b").select("a", "b")
     a, b = pairs.withColumnRenamed(group, "a"), pairs.withColumnRenamed(group, "b")
-    shared = a.join(b, item).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("both"))
+    shared = meant.join(a, "a").join(b, ["b", item]).groupBy("a", "b").agg(F.count("*").alias("both"))
     shared = shared.join(size.select(F.col(group).alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col(group).alias("b"), F.col("n").alias("nb")), "b")
     lost = shared.where("both = na and (nb > na or b < a)").select(F.col("a").alias(group)).distinct()
     return size.join(lost, group, "left_anti")
 
 
 def posterior(df: DataFrame, score: str = "score", coding: str = "coding") -> DataFrame:
-    """Share of coding rows among those with at least a score, by distinct score; 1 above the coding maximum."""
+    """Share of coding rows among those with at least a score, by distinct score."""
     by = df.groupBy(score).agg(F.count_if(coding).alias("c"), F.count("*").alias("n"))
-    tail = Window.orderBy(F.desc(score)).rangeBetween(Window.unboundedPreceding, 0)
-    return by.select(score, F.round(F.sum("c").over(tail) / F.sum("n").over(tail), 6).alias("posterior"))
+    above = running(by, score, {"cs": F.col("c"), "ns": F.col("n")}, ascending=False)
+    return above.select(score, F.round((F.col("cs") + F.col("c")) / (F.col("ns") + F.col("n")), 6).alias("posterior"))
 
 
 def auc(df: DataFrame, score: str = "score", positive: str = "positive") -> DataFrame:
-    """Area under the ROC curve from rank sums; ties share their mean rank (A33). The window sees distinct scores only."""
+    """Area under the ROC curve from rank sums; ties share their mean rank."""
     by = df.groupBy(score).agg(F.count_if(positive).alias("p"), F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = by.withColumn("rank", before + (F.col("n") + 1) / 2)
+    ranked = running(by, score, {"before": F.col("n")}).withColumn("rank", F.col("before") + (F.col("n") + 1) / 2)
     sums = ranked.agg(F.sum("p").alias("np"), F.sum(F.col("n") - F.col("p")).alias("nn"), F.sum(F.col("p") * F.col("rank")).alias("s"))
     return sums.select(F.round((F.col("s") - F.col("np") * (F.col("np") + 1) / 2) / (F.col("np") * F.col("nn")), 6).alias("auc"))
 

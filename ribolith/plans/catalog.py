@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ribolith.functions import sequence as S
@@ -16,21 +13,10 @@ from ribolith.operators import identifications as I
 from ribolith.operators import intervals as J
 from ribolith.operators import startsites as P
 from ribolith.operators import variants as V
+from ribolith.plans.registry import ORACLES, QUERIES, query as _query
 from ribolith.sources import adapters as T
 from ribolith.sources import files as W
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def _query(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
 
 
 def _points(spark, sf_dir):
@@ -45,11 +31,6 @@ _SIZE = "size_ as (select transcript_id, cast(sum(exon_end - exon_start + 1) as
 _EXON_CTES = T.ctes("psite", "exons") + f",\n{_POINTS},\n{_CDNA},\n{_HIT},\n{_SIZE}\n"
 
 
-@_query(T.ctes("psite") + " select chr, strand, start, rpf, cast(cnt as bigint) cnt from psite")
-def psite_counts_by_length(spark, sf_dir):
-    return T.psite(spark, sf_dir)
-
-
 @_query(T.ctes("psite", "features") + f""", {_POINTS}
 select feature_id, cast(sum(cnt) as bigint) counts_sum, count(*) counts_n from points p join features f
 on p.chr = f.chr and p.strand = f.strand and p.start between feature_start and feature_end group by 1""")
@@ -199,6 +180,11 @@ def psite_positions(spark, sf_dir):
     return A.with_psites(T.alignments(spark, sf_dir)).select("l_orderkey", "l_linenumber", "chr", "strand", "len", "psite")
 
 
+@_query(_PSITE + "select chr, strand, psite as start, cast(len as integer) rpf, count(*) cnt from q group by 1, 2, 3, 4")
+def psite_counts_by_length(spark, sf_dir):
+    return A.psite_counts_by_length(A.with_psites(T.alignments(spark, sf_dir)))
+
+
 @_query(_PSITE + "select chr, strand, psite as start, count(*) cnt from q where len between 26 and 34 group by 1, 2, 3")
 def psite_counts(spark, sf_dir):
     return A.psite_counts(A.with_psites(T.alignments(spark, sf_dir)))
@@ -251,7 +237,7 @@ def translations(spark, sf_dir):
 @_query(T.ctes("dna") + """, b as (select doc_id, unnest(string_split(seq, '')) x, generate_subscripts(string_split(seq, ''), 1) i from dna where length(seq) > 0),
 c as (select doc_id, i, x || lead(x, 1) over w || lead(x, 2) over w codon from b window w as (partition by doc_id order by i)),
 e as (select *, min(i) filter (codon in ('TAA', 'TAG', 'TGA')) over (partition by doc_id, i % 3 order by i rows between current row and unbounded following) stop from c)
-select doc_id, cast(i as integer) as start, cast(stop + 2 as integer) as "end", codon from e where codon in ('ATG', 'CTG', 'TTG', 'GTG') and (stop - i) / 3 >= 10""")
+select doc_id, cast(i as integer) as start, cast(stop + 2 as integer) as "end", codon from e where codon in ('ATG', 'CTG', 'TTG', 'GTG') and (stop - i) / 3 >= 9""")
 def open_reading_frames(spark, sf_dir):
     return T.dna(spark, sf_dir).select("doc_id", F.explode(S.find_orfs(F.col("seq"), 10)).alias("o")).select("doc_id", "o.start", "o.end", "o.codon")
 
@@ -275,13 +261,10 @@ def combined_databases(spark, sf_dir):
     return D.combine([p.where("doc_id % 3 <> 0"), p.where("doc_id % 3 <> 1")], "doc_id", "aa").withColumn("aa", F.md5("aa"))
 
 
-@_query(T.ctes("protein") + """, s as (select min(doc_id) doc_id, substring(aa, 2) s from protein where length(aa) > 1 group by 2), short as (select doc_id, substring(s, 1, 40) s from s where doc_id % 2 = 0 union all select doc_id, s from s where doc_id % 2 = 1),
-f as (select min(doc_id) doc_id, s from short where length(s) >= 24 group by 2)
-select doc_id from f a where not exists (select 1 from f b where length(b.s) > length(a.s) and contains(b.s, a.s))""")
+@_query(T.ctes("protein") + """, s as (select min(doc_id) doc_id, substring(aa, 2) s from protein group by 2)
+select doc_id from s a where not exists (select 1 from s b where length(b.s) > length(a.s) and contains(b.s, a.s))""")
 def contained_proteins(spark, sf_dir):
-    rows = T.protein(spark, sf_dir).where("length(aa) > 1").groupBy(F.expr("substring(aa, 2)").alias("s")).agg(F.min("doc_id").alias("doc_id"))
-    rows = rows.select("doc_id", F.expr("concat('M', case when doc_id % 2 = 0 then substring(s, 1, 40) else s end)").alias("seq")).where("length(seq) >= 25")
-    return D.remove_contained(rows.groupBy("seq").agg(F.min("doc_id").alias("doc_id")), "doc_id", k=24).select("doc_id")
+    return D.remove_contained(T.protein(spark, sf_dir), "doc_id", "aa", k=24).select("doc_id")
 
 
 @_query(T.ctes("psms", "protein_sources") + """, g as (select group_id, array_to_string(list_sort(list(distinct source)), '+') sources from psms join protein_sources using (protein_id) group by 1)
@@ -315,17 +298,17 @@ def significant_psms(spark, sf_dir):
     return I.significant(T.psms(spark, sf_dir)).select("group_id", "protein_id", "peptide")
 
 
-@_query(T.ctes("psms") + """, s as (select round(score, -2) score, label = 'O' coding from psms), b as (select score, count(*) filter (coding) c, count(*) n from s group by 1)
+@_query(T.ctes("psms") + """, s as (select score, label = 'O' coding from psms), b as (select score, count(*) filter (coding) c, count(*) n from s group by 1)
 select score, round(sum(c) over (order by score desc) / sum(n) over (order by score desc), 6) posterior from b""")
 def posteriors(spark, sf_dir):
-    return I.posterior(T.psms(spark, sf_dir).selectExpr("round(score, -2) score", "label = 'O' coding"))
+    return I.posterior(T.psms(spark, sf_dir).selectExpr("score", "label = 'O' coding"))
 
 
-@_query(T.ctes("psms") + """, s as (select round(score, -1) score, label = 'O' p from psms), b as (select score, count(*) filter (p) p, count(*) n from s group by 1),
+@_query(T.ctes("psms") + """, s as (select score, label = 'O' p from psms), b as (select score, count(*) filter (p) p, count(*) n from s group by 1),
 r as (select *, coalesce(sum(n) over (order by score rows between unbounded preceding and 1 preceding), 0) + (n + 1) / 2 rk from b),
 t as (select sum(p) np, sum(n - p) nn, sum(p * rk) s from r) select round((s - np * (np + 1) / 2) / (np * nn), 6) auc from t""")
 def auc(spark, sf_dir):
-    return I.auc(T.psms(spark, sf_dir).selectExpr("round(score, -1) score", "label = 'O' positive"))
+    return I.auc(T.psms(spark, sf_dir).selectExpr("score", "label = 'O' positive"))
 
 
 @_query(T.ctes("psms") + " select round(quantile_cont(score, 0.95), 6) threshold from psms where label = 'F'")
@@ -456,3 +439,6 @@ def start_sites(spark, sf_dir):
     hits = C.exon_hits(points, exons).groupBy("transcript_id", "cdna").agg(F.sum("ltm").alias("ltm"), F.sum("chx").alias("chx"))
     cds = exons.where("transcript_id % 3 <> 0").groupBy("transcript_id").agg((F.sum(F.expr("exon_end - exon_start + 1")) - 30).alias("cds_end")).where("cds_end > 60")
     return P.call_starts(hits, T.dna(spark, sf_dir).withColumnRenamed("doc_id", "transcript_id"), cds.withColumn("cds_start", F.lit(31)), _STARTS)
+
+
+from ribolith.plans import annotation  # noqa: E402, F401  registers its queries

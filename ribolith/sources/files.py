@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ribolith.operators.ranges import running
+
 
 def read_alignments(spark: SparkSession, path: str) -> DataFrame:
     """SAM text without header lines: the eleven fixed fields and the tags NH, HI and MD."""
@@ -17,7 +19,7 @@ def read_alignments(spark: SparkSession, path: str) -> DataFrame:
         field(1).alias("qname"), field(2).cast("int").alias("flag"), field(3).alias("chr"), field(4).cast("long").alias("pos"),
         field(5).cast("int").alias("mapq"), field(6).alias("cigar"), field(10).alias("seq"),
         F.substring(tag("NH", "i"), 6, 20).cast("int").alias("nh"), F.substring(tag("HI", "i"), 6, 20).cast("int").alias("hi"),
-        F.substring(tag("MD", "Z"), 6, 10000).alias("md"),
+        F.regexp_replace(tag("MD", "Z"), "^MD:Z:", "").alias("md"),
     )
 
 
@@ -84,22 +86,17 @@ def write_fasta(df: DataFrame, header: Column, path: str, seq: str = "seq") -> N
 def split_parts(df: DataFrame, parts: int, key: str) -> DataFrame:
     """`df` with its part (1 to `parts`): contiguous runs by `key`, sizes at most one apart.
 
-    Ranks come from a range-partitioned sort: the partitions' counts, one number each, give the first rank of each.
+    Ranks are running counts over ranges of the key, so that no task gathers all rows; the key is unique.
     """
-    ranged = df.repartitionByRange(key).sortWithinPartitions(key).withColumn("__p", F.spark_partition_id())
-    sizes = {r["__p"]: r["count"] for r in ranged.groupBy("__p").count().collect()}
-    first, total = {}, 0
-    for p in sorted(sizes):
-        first[p], total = total, total + sizes[p]
+    total = df.count()
     if not total:
         return df.withColumn("part", F.lit(1))
-    base = F.create_map(*(F.lit(x) for p, n in first.items() for x in (p, n)))
-    rank = F.element_at(base, F.col("__p")) + F.row_number().over(Window.partitionBy("__p").orderBy(key)) - 1
+    ranked = running(df, key, {"__n": F.lit(1)})
     big, small = total % parts, total // parts
     part = F.when(F.col("__n") < big * (small + 1), F.floor(F.col("__n") / (small + 1))).otherwise(
         big + F.floor((F.col("__n") - big * (small + 1)) / max(1, small))
     )
-    return ranged.withColumn("__n", rank).withColumn("part", (part + 1).cast("int")).drop("__p", "__n")
+    return ranked.withColumn("part", (part + 1).cast("int")).drop("__n")
 
 
 def parse_headers(df: DataFrame, column: str = "description") -> DataFrame:
