@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ribolith.llm.common import Stage
-from ribolith.llm.vectors import matrix, usable
+from ribolith.llm.vectors import matrix, one_each, usable
 
 #: Neighbours of a node; groups of the start and their largest size; most rounds, and the share of changes that ends them.
 NEIGHBOURS, STARTS, GROUP, ROUNDS, ENOUGH = 36, 4, 60, 7, 0.01
@@ -34,7 +34,7 @@ def _top(rows: DataFrame, key: str, by: list, n: int) -> DataFrame:
 
 def make_nodes(df: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
     """Nodes (node, embedding, vec: unit vector in half precision) and members (node, vec_id, n-th smallest at most)."""
-    rows = usable(df).where(F.exists("embedding", lambda x: x != 0))
+    rows = one_each(usable(df)).where(F.exists("embedding", lambda x: x != 0))
     # Ids of a very common vector are cut down in salted parts before they meet.
     part = Window.partitionBy("embedding", F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy("vec_id")
     some = rows.withColumn("r", F.row_number().over(part)).where(F.col("r") <= members).drop("r")
@@ -181,7 +181,7 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     made, members = make_nodes(df.select("vec_id", "embedding"), k + 1)
     nodes, members = stage.write(made), stage.write(members)
     graph = build_graph(nodes, stage)
-    own = usable(df.select("vec_id", "embedding").where(F.col("vec_id") % every == 0))
+    own = one_each(usable(df.select("vec_id", "embedding").where(F.col("vec_id") % every == 0)))
     wanted = own.join(nodes.select("node", F.col("embedding").alias("e")), F.col("embedding") == F.col("e")).select(
         F.col("vec_id").alias("query_id"), F.col("node").alias("q")
     )

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 
 def usable(df: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the rows that take part: an id and a vector without null or non-finite components.
-
-    Of rows that repeat a vec_id the smallest vector counts.
-    """
+    """(vec_id, embedding) of the rows that take part, repeated ones too: an id and a vector without null or non-finite components."""
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = df.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & good)
+    return df.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & good).select("vec_id", "embedding")
+
+
+def one_each(rows: DataFrame) -> DataFrame:
+    """Of rows that repeat a vec_id that with the smallest vector."""
     return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
