@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ribolith.operators.intervals import points_in, with_cdna
+from ribolith.operators.ranges import staged
 
 
 def coding_transcripts(genes: DataFrame, transcripts: DataFrame, translations: DataFrame) -> DataFrame:
@@ -115,18 +116,16 @@ def structure_groups(orfs: DataFrame, rounds: int = 30) -> DataFrame:
     """`orfs` with `structure`: records of one transcript that share start or stop, also over others, form one.
 
     The structure's number is the least orf_id in it. Labels spread by minima over equal starts and stops inside a transcript until none
-    changes; each round is checkpointed where the session has a checkpoint folder.
+    changes; each round is staged.
     """
-    spark = orfs.sparkSession
     now = orfs.withColumn("structure", F.col("orf_id"))
-    kept = spark.sparkContext.getCheckpointDir() is not None
     for _ in range(rounds):
         for side in ("start", "stop"):
             now = now.withColumn("structure", F.min("structure").over(Window.partitionBy("transcript_id", side)))
         now = now.withColumn("__was", F.col("structure"))
         for side in ("start", "stop"):
             now = now.withColumn("structure", F.min("structure").over(Window.partitionBy("transcript_id", side)))
-        now = now.checkpoint() if kept else now.persist()
+        now = staged(now)
         if now.where("structure <> __was").isEmpty():
             break
         now = now.drop("__was")

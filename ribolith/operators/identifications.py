@@ -53,7 +53,7 @@ def posterior(df: DataFrame, score: str = "score", coding: str = "coding") -> Da
     """Share of coding rows among those with at least a score, by distinct score."""
     by = df.groupBy(score).agg(F.count_if(coding).alias("c"), F.count("*").alias("n"))
     above = running(by, score, {"cs": F.col("c"), "ns": F.col("n")}, ascending=False)
-    return above.select(score, F.round((F.col("cs") + F.col("c")) / (F.col("ns") + F.col("n")), 6).alias("posterior"))
+    return above.select(score, ((F.col("cs") + F.col("c")) / (F.col("ns") + F.col("n"))).alias("posterior"))
 
 
 def auc(df: DataFrame, score: str = "score", positive: str = "positive") -> DataFrame:

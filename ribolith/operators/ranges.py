@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 RANGES = 64
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """`df`, computed once: in the session's checkpoint folder, which all executors share, or kept by Spark where none is set."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+
+
 def _number(df: DataFrame, order: str) -> Column:
     """A double that grows with the order column; of strings the first six bytes."""
     if dict(df.dtypes)[order] != "string":

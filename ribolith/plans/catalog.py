@@ -299,7 +299,7 @@ def significant_psms(spark, sf_dir):
 
 
 @_query(T.ctes("psms") + """, s as (select score, label = 'O' coding from psms), b as (select score, count(*) filter (coding) c, count(*) n from s group by 1)
-select score, round(sum(c) over (order by score desc) / sum(n) over (order by score desc), 6) posterior from b""")
+select score, sum(c) over (order by score desc) / sum(n) over (order by score desc) posterior from b""")
 def posteriors(spark, sf_dir):
     return I.posterior(T.psms(spark, sf_dir).selectExpr("score", "label = 'O' coding"))
 
