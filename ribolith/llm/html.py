@@ -2,10 +2,14 @@
 
 A page is read as a row of text nodes, each with its root-to-leaf path of block tags (and the class or id names on it). For
 each path the text length and the punctuation are summed over its nodes; both sums give a ratio to the number of nodes.
-The ratios of the node row are smoothed with a Gaussian window, fused by product, damped by the share of link text and by
-names on the path that mark page furniture, and a path is content if its value passes a threshold. Content paths vote for
-the container that holds their text; other plain paths inside the container (headings, list items, short lines) belong to
-the article as well.
+The ratios of the node row are smoothed with a Gaussian window and fused by product, as are the path's own ratios. A path's
+value is the geometric mean of its own product and the mean of its nodes' smoothed ones, so that a short line is not lifted
+by long neighbours alone, times the square of its share of text outside links, times a factor for the roles on it: 0 under
+elements and names that say nothing but page furniture, `DOUBT` for each name that has such a word among others. Paths whose value reaches
+`THRESHOLD` of the text-weighted mean are content. Paths below it (headings, list items, short lines) are kept where they
+stand inside the article and are not mostly links.
+
+Paths are nodes of a tree, numbered in the order of their first use, so the work is linear in the page at any depth.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ ENDS_SAME = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}), "thead": ({"thead", "tbody"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"}),
 }
-#: Names in class, id or role that mark page furniture, as whole words of the attribute.
+#: Words of class, id or role names that mark page furniture, and words that say nothing beside them.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense adbox adslot sponsor sponsored promo promotion banner sidebar "
     "side widget menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup "
@@ -47,21 +51,48 @@ MARKS = frozenset(
     "comment comments disqus reply replies respond discussion footer header masthead topbar toolbar pagination pager "
     "search copyright legal disclaimer complementary contentinfo dialog skip toc outbrain taboola trending popular tags".split()
 )
+PLAIN = frozenset(
+    "list item items box block container wrapper wrap section area inner outer content bar left right top bottom main primary "
+    "secondary row col column cell group panel site page global slot unit links link icons buttons text title heading body "
+    "js css is id mobile desktop fixed sticky small large wide first last new".split()
+)
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、·¿¡]")
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: Every start of markup; the rest of a tag, with quotes or, once a quote never closes, without; one attribute.
+START = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*+)")
+REST = re.compile(r"((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
 WORDS = re.compile(r"[a-z]+")
 LAYOUT = re.compile(r"\b(?:has|with|no|without)[-_]?[a-z]+|-less\b")  # names of pages that have or lack a part
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Width of the smoothing window in nodes to each side, and the share of the text-weighted mean that a path must reach.
 RADIUS, THRESHOLD = 2, 0.25
+#: Factor of a name that has a word of furniture among words of its own.
+DOUBT = 0.2
 _KERNEL = [math.exp(-(d * d) / 2.0) for d in range(-RADIUS, RADIUS + 1)]
 
 
-def nodes(page: str) -> list[tuple[tuple, str, int, bool]]:
-    """The text blocks of a page in order: (path, text, characters inside links, stands in furniture)."""
-    out, stack, buffer = [], [], []
-    linked, in_link = 0, 0
+def _name_factor(value: str) -> float:
+    """1 for names without a word of furniture, 0 if a name has no word besides (`ad-slot`), `DOUBT` else (`tags-of-war`)."""
+    factor = 1.0
+    for name in LAYOUT.sub("", value).split():
+        words = set(WORDS.findall(name))
+        if MARKS & words:
+            factor = 0.0 if words <= MARKS | PLAIN else min(factor, DOUBT)
+    return factor
+
+
+def nodes(page: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, float]]]:
+    """The text blocks of a page in order, (path, text, characters inside links), and the tree of paths.
+
+    A path is its place in the tree, a list of (parent path, tag, factor of the roles on it); path 0 is the page itself.
+    Equal names under equal paths are one path. Blocks of white space alone are none. Markup that never ends reaches to the
+    end of the page; after a tag with an unclosed quote, quotes no longer protect a `>`.
+    """
+    rows, buffer = [], []
+    tree, known = [(-1, "", 1.0)], {}
+    stack, places = [], {}  # open elements as (path, tag); for each tag its places in the stack
+    linked = in_link = 0
+    unshut, quoted = set(), True
 
     def flush():
         nonlocal linked
@@ -70,7 +101,7 @@ def nodes(page: str) -> list[tuple[tuple, str, int, bool]]:
         if "&" in text:
             text = entities.unescape(text)
         if text := " ".join(text.split()):
-            out.append((tuple(x[0] for x in stack), text, min(linked, len(text)), bool(stack) and stack[-1][2]))
+            rows.append((stack[-1][0] if stack else 0, text, min(linked, len(text))))
         linked = 0
 
     def add(text):
@@ -79,17 +110,33 @@ def nodes(page: str) -> list[tuple[tuple, str, int, bool]]:
         if in_link:
             linked += len(text.strip())
 
-    def close(names, until):
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][1] in names:
-                del stack[k:]
-                return
-            if stack[k][1] in until:
-                return
+    def innermost(names):
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    def close(names, until=()):
+        k = innermost(names)
+        if k > innermost(until):
+            while len(stack) > k:
+                places[stack.pop()[1]].pop()
+
+    def factor(tag, attributes):
+        """The factor of one element and the names that tell its path."""
+        role, name = 1.0, tag
+        if tag in FURNITURE and not (tag in ("header", "address") and (places.get("article") or places.get("main"))):
+            role = 0.0
+        for a in ATTRIBUTE.finditer(attributes):
+            key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
+            if key == "hidden" or key == "style" and HIDDEN.search(value):
+                role, name = 0.0, name + ".hidden"
+            elif key in ("class", "id", "role") and tag not in ("html", "body"):
+                name += "." + value
+                if tag != "main":
+                    role *= _name_factor(value)
+        return role, name
 
     at, end = 0, len(page)
     while at < end:
-        m = TOKEN.search(page, at)
+        m = START.search(page, at)
         if not m:
             add(page[at:])
             break
@@ -97,9 +144,18 @@ def nodes(page: str) -> list[tuple[tuple, str, int, bool]]:
             add(page[at : m.start()])
         at = m.end()
         if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                add(m[0][9:].removesuffix("]]>"))
+            shut = {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0], ">")
+            stop = page.find(shut, at)
+            if shut == "]]>":
+                add(page[at : stop if stop >= 0 else end])
+            at = stop + len(shut) if stop >= 0 else end
             continue
+        rest = REST.match(page, at) if quoted else None
+        if rest:
+            attributes, at = rest[1], rest.end()
+        else:
+            quoted, stop = False, page.find(">", at)
+            attributes, at = page[at : stop if stop >= 0 else end], stop + 1 if stop >= 0 else end
         tag, closing = m[2].lower(), bool(m[1])
         if tag in INLINE:
             if tag == "a":
@@ -112,86 +168,81 @@ def nodes(page: str) -> list[tuple[tuple, str, int, bool]]:
                 flush()
             continue
         if tag in RAW:
-            if not closing and not m[0].endswith("/>"):
-                shut = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            if not closing and not attributes.endswith("/") and tag not in unshut:
+                shut = re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
+                if not shut:
+                    unshut.add(tag)
                 at = shut.end() if shut else (end if tag in ("script", "style") else at)
             continue
         flush()
         if closing:
             in_link = 0 if tag in ENDS_P else in_link
-            if any(x[1] == tag for x in stack):
-                close({tag}, ())
+            close((tag,))
             continue
         if tag in ENDS_P:
-            close({"p"}, ("td", "th", "li", "article", "section", "div", "body"))
+            close(("p",), ("td", "th", "li", "article", "section", "div", "body"))
         if tag in ENDS_SAME:
             close(*ENDS_SAME[tag])
-        name, bad = tag, bool(stack) and stack[-1][2]
-        inside = any(x[1] in ("article", "main") for x in stack)
-        if tag in FURNITURE and not (tag in ("header", "address") and inside):
-            bad = True
-        if m[3]:
-            for a in ATTRIBUTE.finditer(m[3]):
-                key, value = a[1].lower(), a[2] or a[3] or a[4] or ""
-                if key == "hidden" or key == "style" and HIDDEN.search(value):
-                    bad = True
-                elif key in ("class", "id", "role") and tag not in ("html", "body"):
-                    name += "." + value.lower()
-                    if tag != "main" and MARKS & set(WORDS.findall(LAYOUT.sub("", value.lower()))):
-                        bad = True
-        stack.append((name, tag, bad))
+        parent = stack[-1][0] if stack else 0
+        role, name = factor(tag, attributes)
+        path = known.setdefault((parent, name), len(tree))
+        if path == len(tree):
+            tree.append((parent, tag, tree[parent][2] * role))
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((path, tag))
     flush()
-    return out
+    return rows, tree
 
 
-def main_text(page: str | None) -> str:
-    """The main text of a page, its blocks joined by one space; empty for a null, empty or textless page."""
-    rows = nodes(page) if page else []
-    if not rows:
-        return ""
-    # Sums and ratios of each path.
+def path_values(rows: list, tree: list) -> tuple[dict[int, float], dict[int, int], dict[int, int]]:
+    """For each path that has text: its value, its characters and those of them inside links."""
     length, marks, links, count = {}, {}, {}, {}
-    for path, text, linked, _ in rows:
+    for path, text, linked in rows:
         length[path] = length.get(path, 0) + len(text)
         marks[path] = marks.get(path, 0) + len(PUNCTUATION.findall(text))
         links[path] = links.get(path, 0) + linked
         count[path] = count.get(path, 0) + 1
-    text_ratio = [length[r[0]] / count[r[0]] for r in rows]
-    mark_ratio = [marks[r[0]] / count[r[0]] for r in rows]
-    smooth_text, smooth_mark = _smooth(text_ratio), _smooth(mark_ratio)
-    # Fused value of each path: the mean of its nodes' products, damped by link text; none in furniture.
-    value = {}
-    for (path, _, _, bad), t, p in zip(rows, smooth_text, smooth_mark):
-        if not bad:
-            value[path] = value.get(path, 0.0) + t * (p + 0.1) / count[path]
+    smooth_text = _smooth([length[r[0]] / count[r[0]] for r in rows])
+    smooth_mark = _smooth([marks[r[0]] / count[r[0]] for r in rows])
+    value = dict.fromkeys(length, 0.0)
+    for (path, _, _), t, p in zip(rows, smooth_text, smooth_mark):
+        value[path] += t * (p + 0.1) / count[path]
     for path in value:
-        value[path] *= (1.0 - links[path] / max(1, length[path])) ** 2
-    if not any(value.values()):
+        own = length[path] / count[path] * (marks[path] / count[path] + 0.1)
+        value[path] = math.sqrt(own * value[path]) * (1.0 - links[path] / length[path]) ** 2 * tree[path][2]
+    return value, length, links
+
+
+def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
+    """The main text of a page, its blocks joined by one space; empty for a null, empty or textless page.
+
+    Where article or main elements hold content, the text comes from them alone; else content paths count wherever they
+    stand, and the article is the deepest element with 0.7 of their text in elements inside it.
+    """
+    rows, tree = nodes(page) if page else ([], [])
+    value, length, links = path_values(rows, tree)
+    weight = sum(length[p] for p, v in value.items() if v > 0)
+    if not weight:
         return ""
-    weight = sum(length[p] for p in value)
-    mean = sum(v * length[p] for p, v in value.items()) / weight
-    content = {p for p, v in value.items() if v >= THRESHOLD * mean}
-    # The article: an article or main element if the page has one, else the deepest element with most content text.
-    named = {}
-    for p in value:
-        for k, name in enumerate(p):
-            if name.split(".")[0] in ("article", "main"):
-                named[p[: k + 1]] = named.get(p[: k + 1], 0) + length[p]
-    total = sum(length[p] for p in content)
-    if named:
-        top = max(named, key=lambda c: (named[c], len(c)))
-    else:
-        top, held = (), {}
-        for p in content:
-            for k in range(len(p)):
-                held[p[:k]] = held.get(p[:k], 0) + length[p]
-        for c, n in held.items():
-            if n >= 0.7 * total and len(c) > len(top):
-                top = c
-    return " ".join(
-        text for path, text, linked, bad in rows
-        if not bad and path[: len(top)] == top and (named or path in content or linked < 0.5 * len(text))
-    )
+    bound = threshold * sum(v * length[p] for p, v in value.items()) / weight
+    content = {p for p, v in value.items() if v > 0 and v >= bound}
+    held = [0] * len(tree)  # content text below a path
+    for p in range(len(tree) - 1, 0, -1):  # a parent comes before its children
+        held[tree[p][0]] += held[p] + (length[p] if p in content else 0)
+    roots = {p for p, (_, tag, _) in enumerate(tree) if tag in ("article", "main") and (held[p] or p in content)}
+    named, inside, depth = bool(roots), [False] * len(tree), [0] * len(tree)
+    for p in range(1, len(tree)):
+        depth[p] = depth[tree[p][0]] + 1
+    if not named:
+        total = sum(length[p] for p in content)
+        roots = {max((p for p, n in enumerate(held) if n >= 0.7 * total), key=depth.__getitem__, default=0)}
+    for p, (parent, _, _) in enumerate(tree):
+        inside[p] = p in roots or parent >= 0 and inside[parent]
+    kept = {
+        p for p, v in value.items()
+        if tree[p][2] > 0 and (inside[p] and (p in content or links[p] < 0.5 * length[p]) or p in content and not named)
+    }
+    return " ".join(text for path, text, _ in rows if path in kept)
 
 
 def _smooth(row: list[float]) -> list[float]:
