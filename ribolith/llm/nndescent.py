@@ -1,13 +1,14 @@
 """Approximate nearest neighbours: NN-descent builds a graph by iterative joins, queries search it greedily.
 
 Equal vectors are one node with its smallest ids, so a very common vector is one node. The graph starts from small groups of
-nodes that share the signs of random projections. Then, in each round, the neighbours of every node in either direction are
+nodes that share the signs of random projections; a crowded sign is dealt into groups by hashes, so no task holds it whole. Then, in each round, the neighbours of every node in either direction are
 brought together with their vectors (a join), compared pairwise, and each pair that beats the worst neighbour of one of
-its ends is proposed to that end; a window keeps the best. Rounds end when few neighbours change.
+its ends is proposed to that end; a window keeps the best. Rounds end when few neighbours change, or after as many as the
+logarithm of the number of nodes allows.
 
 A query starts at its own node. In each round the best nodes of its beam that are not expanded yet are joined with their
-neighbours in either direction, and the beam keeps the best. The final scores are cosines of the original vectors in double
-precision.
+neighbours in either direction, and the beam keeps the best, until all of it is expanded. The whole beam is scored anew by
+cosines of the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from pyspark.sql import functions as F
 from ribolith.llm.common import Stage
 from ribolith.llm.vectors import matrix, one_each, usable
 
-#: Neighbours of a node; groups of the start and their largest size; most rounds, and the share of changes that ends them.
-NEIGHBOURS, STARTS, GROUP, ROUNDS, ENOUGH = 36, 4, 60, 7, 0.01
-#: Least beam of a query (it grows with the square root of the nodes), share of it that a round expands, and most rounds.
-BEAM, EXPAND, STEPS = 100, 4, 6
+#: Neighbours of a node; groups of the start, their mean size, and parts of a sign's rows; the share of changes that ends the rounds.
+NEIGHBOURS, STARTS, GROUP, SALTS, ENOUGH = 36, 4, 60, 32, 0.01
+#: Least beam of a query (it grows with the square root of the nodes), and the share of it that a round expands.
+BEAM, EXPAND = 100, 4
 #: Lists that are compared at once in a task.
 SLICE = 64
 
@@ -32,6 +33,11 @@ def _top(rows: DataFrame, key: str, by: list, n: int) -> DataFrame:
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(*by))).where(F.col("__r") <= n).drop("__r")
 
 
+def _rounds(n: int) -> int:
+    """A guard on the rounds over n nodes or edges; both loops end before it where their condition is met."""
+    return 8 + math.ceil(math.log2(n + 2) / 2)
+
+
 def make_nodes(df: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
     """Nodes (node, embedding, vec: unit vector in half precision) and members (node, vec_id, n-th smallest at most)."""
     rows = one_each(usable(df)).where(F.exists("embedding", lambda x: x != 0))
@@ -102,14 +108,19 @@ def compare(lists: DataFrame) -> DataFrame:
 
 
 def build_graph(nodes: DataFrame, stage: Stage, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """Edges (a, b, sim) to about the nearest `neighbours` nodes of each node."""
+    """Edges (a, b, sim) to about the nearest `neighbours` nodes of each node; ties go to the smaller node.
+
+    A single node, or none, gives no edges. Equal `nodes` must be one row each, as `make_nodes` gives them.
+    """
     best = [F.desc("sim"), "b"]
     bits = max(0, min(20, math.floor(math.log2(max(1, nodes.count()) / GROUP * 1.5))) if nodes.count() > GROUP else 0)
     keyed = nodes.select("node", "vec", F.posexplode("signs").alias("s", "sign"))
     keyed = keyed.withColumn("sign", F.col("sign").bitwiseAND((1 << bits) - 1))
-    place = F.row_number().over(Window.partitionBy("s", "sign").orderBy("node")) - 1
-    size = F.count("*").over(Window.partitionBy("s", "sign"))
-    keyed = keyed.withColumn("g", F.floor(place / F.ceil(size / F.ceil(size / GROUP))))
+    # Groups of a sign follow its size; the sizes meet the rows in salted parts.
+    size = keyed.groupBy("s", "sign").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    size = size.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(size, ["s", "sign", "salt"])
+    keyed = keyed.withColumn("g", F.pmod(F.xxhash64("node", "s", F.lit("group")), "groups"))
     item = F.struct(F.col("node").alias("id"), "vec", F.lit(-2.0).cast("float").alias("worst"), F.lit(True).alias("fresh"))
     lists = keyed.groupBy("s", "sign", "g").agg(F.collect_list(item).alias("items")).select("items")
     graph = stage.write(_top(compare(lists).distinct(), "a", best, neighbours).withColumn("fresh", F.lit(True)))
@@ -117,7 +128,7 @@ def build_graph(nodes: DataFrame, stage: Stage, neighbours: int = NEIGHBOURS) ->
         F.col("a").alias("node"), F.when(F.col("n") >= neighbours, F.col("w")).otherwise(-2.0).cast("float").alias("worst")
     )
     total = graph.count()
-    for _ in range(ROUNDS):
+    for _ in range(_rounds(total)):
         back = _top(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim", "fresh"), "a", best, neighbours)
         around = graph.select("a", "b", "fresh").unionByName(back.select("a", "b", "fresh"))
         around = around.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
@@ -137,13 +148,17 @@ def build_graph(nodes: DataFrame, stage: Stage, neighbours: int = NEIGHBOURS) ->
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, stage: Stage) -> DataFrame:
-    """Beams (q, b, sim) of the query nodes `queries` (q) after greedy search from their own nodes."""
-    beam = max(BEAM, math.ceil(math.sqrt(nodes.count())))
+    """Beams (q, b, sim) of the query nodes `queries` (q) after greedy search from their own nodes.
+
+    The search ends when every beam is expanded; the guard on its rounds grows with the logarithm of the number of nodes.
+    """
+    count = nodes.count()
+    beam = max(BEAM, math.ceil(math.sqrt(count)))
     edges = stage.write(graph.select("a", "b").unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     vectors = nodes.select("node", "vec")
     wanted = stage.write(queries.join(vectors.withColumnRenamed("node", "q"), "q").select("q", F.col("vec").alias("qvec")))
     state = stage.write(wanted.select("q", F.col("q").alias("b"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done")))
-    for _ in range(STEPS):
+    for _ in range(_rounds(count)):
         todo = _top(state.where("not done"), "q", [F.desc("sim"), "b"], beam // EXPAND).select("q", F.col("b").alias("at"))
         reached = todo.join(edges.withColumnRenamed("a", "at"), "at").select("q", "b").distinct()
         new = reached.join(state.select("q", "b"), ["q", "b"], "left_anti")
@@ -187,9 +202,8 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     )
     wanted = stage.write(wanted)
     found = search(wanted.select("q").distinct(), nodes, graph, stage)
-    some = _top(found, "q", [F.desc("sim"), "b"], 4 * k)
     exact = nodes.select("node", "embedding")
-    pairs = some.join(exact.withColumnRenamed("node", "q").withColumnRenamed("embedding", "x"), "q")
+    pairs = found.join(exact.withColumnRenamed("node", "q").withColumnRenamed("embedding", "x"), "q")
     pairs = pairs.join(exact.withColumnRenamed("node", "b").withColumnRenamed("embedding", "y"), "b")
     scored = cosines(pairs.select("q", "b", "x", "y"))
     rows = wanted.join(scored, "q").join(members.withColumnRenamed("node", "b"), "b").where("vec_id <> query_id")
