@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ribolith.llm import bpe, html, langid, maxscore, mixing, nndescent, sharding, simhash, substrings, toxicity
+from ribolith.llm import bpe, divergence, html, langid, maxscore, mixing, nndescent, sharding, simhash, substrings, toxicity
 from ribolith.llm.common import table
 
 
@@ -48,7 +48,11 @@ def op10_simhash(spark, sf_dir):
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op5_collinear_chains, op6_cube_mixing, op7_maxscore, op8_ring_shards, op9_nn_descent, op10_simhash)}
+def op11_stripes(spark, sf_dir):
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op5_collinear_chains, op6_cube_mixing, op7_maxscore, op8_ring_shards, op9_nn_descent, op10_simhash, op11_stripes)}
 
 
 def pipeline(spark, sf_dir):
@@ -58,4 +62,4 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES["pipeline"] = pipeline
-ORACLES: dict[str, str] = {"op7_maxscore": maxscore.ORACLE}
+ORACLES: dict[str, str] = {"op7_maxscore": maxscore.ORACLE, "op11_stripes": divergence.ORACLE}
