@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ribolith.llm import bpe, divergence, html, langid, maxscore, mixing, nndescent, sharding, simhash, substrings, toxicity
+from ribolith.llm import bpe, divergence, html, langid, maxscore, mixing, nndescent, quality, sharding, simhash, substrings, toxicity, zonemaps
 from ribolith.llm.common import table
 
 
@@ -52,7 +52,15 @@ def op11_stripes(spark, sf_dir):
     return divergence.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op5_collinear_chains, op6_cube_mixing, op7_maxscore, op8_ring_shards, op9_nn_descent, op10_simhash, op11_stripes)}
+def op12_ftrl_quality(spark, sf_dir):
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hilbert_zones(spark, sf_dir):
+    return zonemaps.report(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_tag_paths, op2_byte_bpe, op3_toxicity_trees, op4_byte_cnn, op5_collinear_chains, op6_cube_mixing, op7_maxscore, op8_ring_shards, op9_nn_descent, op10_simhash, op11_stripes, op12_ftrl_quality, op13_hilbert_zones)}
 
 
 def pipeline(spark, sf_dir):
@@ -62,4 +70,4 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES["pipeline"] = pipeline
-ORACLES: dict[str, str] = {"op7_maxscore": maxscore.ORACLE, "op11_stripes": divergence.ORACLE}
+ORACLES: dict[str, str] = {"op7_maxscore": maxscore.ORACLE, "op11_stripes": divergence.ORACLE, "op13_hilbert_zones": zonemaps.ORACLE}

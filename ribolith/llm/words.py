@@ -22,7 +22,7 @@ def mixed(h):
 def _powers():
     import numpy as np
 
-    if not _tables:
+    if "up" not in _tables:
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             row = np.full(SEGMENT + 1, base, "uint64")
             row[0] = 1
@@ -77,3 +77,39 @@ def word_hashes(text: bytes):
         hashes.append(mixed((total[end] - total[start]) * down[start]))
         starts.append(start + a)
     return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _kinds():
+    """0 for white space, 1 for letters and all bytes beyond ASCII, 2 for digits, 3 for others."""
+    import numpy as np
+
+    if "kinds" not in _tables:
+        out = np.full(256, 3, "u1")
+        out[[9, 10, 11, 12, 13, 32]] = 0
+        out[65:91] = out[97:123] = out[128:] = 1
+        out[48:58] = 2
+        _tables["kinds"] = out
+    return _tables["kinds"]
+
+
+def token_hashes(text: bytes):
+    """Arrays of the hashes of a text's tokens in order: runs of letters, of digits, and of other characters without white space.
+
+    A text is cut at white space into pieces of at most `SEGMENT` bytes, and a longer run without white space at that length.
+    """
+    import numpy as np
+
+    up, down = _powers()
+    kinds = _kinds()
+    for a, b in _segments(text):
+        for at in range(a, b, SEGMENT):
+            size = min(SEGMENT, b - at)
+            raw = np.frombuffer(text, "u1", size, at)
+            kind = np.zeros(size + 2, "u1")
+            kind[1:-1] = kinds[raw]
+            edge = np.flatnonzero(kind[1:] != kind[:-1])
+            start = edge[kind[edge + 1] > 0]
+            end = edge[kind[edge] > 0]
+            total = np.zeros(size + 1, "uint64")
+            np.cumsum((raw.astype("uint64") + np.uint64(1)) * up[:size], out=total[1:])
+            yield mixed((total[end] - total[start]) * down[start])
