@@ -441,4 +441,4 @@ def start_sites(spark, sf_dir):
     return P.call_starts(hits, T.dna(spark, sf_dir).withColumnRenamed("doc_id", "transcript_id"), cds.withColumn("cds_start", F.lit(31)), _STARTS)
 
 
-from ribolith.plans import annotation  # noqa: E402, F401  registers its queries
+from ribolith.plans import annotation, assembly  # noqa: E402, F401  register their queries
