@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ribolith.operators.graphs import components
 from ribolith.operators.intervals import points_in, with_cdna
-from ribolith.operators.ranges import staged
 
 
 def coding_transcripts(genes: DataFrame, transcripts: DataFrame, translations: DataFrame) -> DataFrame:
@@ -112,21 +112,26 @@ def _first(df: DataFrame, group: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where("__r = 1").drop("__r")
 
 
-def structure_groups(orfs: DataFrame, rounds: int = 30) -> DataFrame:
+def structure_groups(orfs: DataFrame) -> DataFrame:
     """`orfs` with `structure`: records of one transcript that share start or stop, also over others, form one.
 
-    The structure's number is the least orf_id in it. Labels spread by minima over equal starts and stops inside a transcript until none
-    changes; each round is staged.
+    The structure's number is the least orf_id in it. Each record is linked to the least one with its start and the least one with its stop, so links
+    are at most two for each; their connected components are the structures, whatever the length of a chain. A null start or
+    stop is shared with none.
     """
-    now = orfs.withColumn("structure", F.col("orf_id"))
-    for _ in range(rounds):
-        for side in ("start", "stop"):
-            now = now.withColumn("structure", F.min("structure").over(Window.partitionBy("transcript_id", side)))
-        now = now.withColumn("__was", F.col("structure"))
-        for side in ("start", "stop"):
-            now = now.withColumn("structure", F.min("structure").over(Window.partitionBy("transcript_id", side)))
-        now = staged(now)
-        if now.where("structure <> __was").isEmpty():
-            break
-        now = now.drop("__was")
-    return now.drop("__was")
+    kept = orfs.select("orf_id", "transcript_id", "start", "stop")
+    links = None
+    for side in ("start", "stop"):
+        first = kept.groupBy("transcript_id", side).agg(F.min("orf_id").alias("b"))
+        own = kept.join(first, ["transcript_id", side]).select(F.col("orf_id").alias("a"), "b")
+        links = own if links is None else links.unionByName(own)
+    found = components(links).withColumnRenamed("root", "structure")
+    out = orfs.join(found, orfs["orf_id"] == found["node"], "left").drop("node")
+    return out.withColumn("structure", F.coalesce("structure", "orf_id"))
+
+
+def structure_order(structures: DataFrame) -> DataFrame:
+    """Structures of each transcript by number: that with an annotated start is 1, then by their least orf_id."""
+    own = structures.groupBy("transcript_id", "structure").agg(F.max((F.col("annotation") == "aTIS").cast("int")).alias("annotated"), F.count("*").alias("members"))
+    number = F.row_number().over(Window.partitionBy("transcript_id").orderBy(F.desc("annotated"), "structure"))
+    return own.select("transcript_id", "structure", "members", number.alias("number"))

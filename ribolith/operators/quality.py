@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ribolith.operators.alignments import cigar_ops, strand_of
+from ribolith.operators.smoothing import local_regression
 
 
 def codon_phase_counts(hits: DataFrame, transcripts: DataFrame) -> DataFrame:
@@ -93,35 +94,17 @@ def floss_classes(scores: DataFrame, cutoffs: DataFrame) -> DataFrame:
     return rows.withColumn("class", kind.when(F.col("floss") < F.col("cutoff"), "Good").otherwise("Extreme"))
 
 
-def floss_cutoff(windows: DataFrame, span: float = 0.75, knots: int = 200, grid: int = 400) -> DataFrame:
-    """(nreads, cutoff): locally weighted quadratic fit of the windows' extremes on log10 of their mean reads (M1).
+def floss_cutoff(windows: DataFrame, span: float = 0.75) -> DataFrame:
+    """(nreads, cutoff): local regression of the windows' extremes on log10 of their mean reads, at every whole number of their range (M1).
 
-    Windows are averaged into `knots` equal ranges of the logarithm; each grid point of the range takes the knots within the nearest
-    `span` of them by tricube weights, whose normal equations are sums in Spark. The grid holds the whole numbers of the range where they
-    are at most `grid`, else `grid` of them evenly spaced in the logarithm.
+    The numbers come from a range that Spark makes, and each reads its cell of the curve, so that nothing follows the range's
+    length. Windows without reads take no part; without windows there are no cutoffs.
     """
-    rows = windows.where("mean_reads > 0").select(F.log10("mean_reads").alias("x"), F.col("extreme").alias("y"))
-    ends = rows.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    schema = "nreads long, cutoff double"
-    if ends["lo"] is None:
-        return windows.sparkSession.createDataFrame([], schema)
-    lo, hi = ends["lo"], ends["hi"]
-    slot = F.floor((F.col("x") - lo) / max(hi - lo, 1e-9) * (knots - 1)).cast("int")
-    points = rows.groupBy(slot.alias("k")).agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.count("*").alias("m"))
-    first, last = math.ceil(10**lo - 1e-9), math.floor(10**hi + 1e-9)
-    values = range(first, last + 1) if last - first < grid else sorted({round(10 ** (lo + (hi - lo) * i / (grid - 1))) for i in range(grid)})
-    points_at = windows.sparkSession.createDataFrame([(int(v), math.log10(v)) for v in values if v > 0] or [(1, 0.0)], "nreads long, g double")
-    near = points_at.join(F.broadcast(points)).withColumn("d", F.abs(F.col("x") - F.col("g")))  # at most grid x knots rows
-    rank = F.row_number().over(Window.partitionBy("nreads").orderBy("d", "k"))
-    size = F.count("*").over(Window.partitionBy("nreads"))
-    near = near.withColumn("r", rank).withColumn("s", size).where(F.col("r") <= F.greatest(F.ceil(F.col("s") * span), F.lit(4)))
-    near = near.withColumn("h", F.max("d").over(Window.partitionBy("nreads")) * 1.0001 + 1e-9)
-    u = F.col("x") - F.col("g")
-    w = F.col("m") * F.pow(1 - F.pow(F.col("d") / F.col("h"), 3), 3)
-    sums = near.groupBy("nreads").agg(*(F.sum(w * F.pow(u, i)).alias(f"s{i}") for i in range(5)), *(F.sum(w * F.pow(u, i) * F.col("y")).alias(f"t{i}") for i in range(3)))
-    det = "(s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2))"
-    top = "(t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - t2 * s3) + s2 * (t1 * s3 - t2 * s2))"
-    return sums.selectExpr("nreads", f"case when abs({det}) > 1e-14 then {top} / {det} else t0 / s0 end cutoff")
+    rows = windows.where("mean_reads > 0").select(F.log10("mean_reads").alias("x"), F.col("extreme").alias("y"), "mean_reads")
+    lo, hi = rows.agg(F.min("mean_reads"), F.max("mean_reads")).first()
+    numbers = windows.sparkSession.range(math.ceil(lo) if lo else 0, math.floor(hi) + 1 if hi else 0)
+    curve = local_regression(rows, span)
+    return numbers.select(F.col("id").alias("nreads"), curve(F.log10(F.col("id").cast("double"))).alias("cutoff"))
 
 
 def coherence(profiles: DataFrame, width: int = 30, step: int = 3) -> DataFrame:

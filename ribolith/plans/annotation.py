@@ -178,11 +178,23 @@ def structure_links(spark, sf_dir):
     return rows.selectExpr("orf_id", "n_start + n_stop - n_start_stop linked")
 
 
-@query()
+_STRUCTURES = _with("orfs").replace("with ", "with recursive ", 1) + """, u as (select orf_id, min(transcript_id) transcript_id, min(start) start, min(stop) stop, min(annotation) annotation from orfs group by 1),
+reach as (select orf_id, orf_id root from u union select b.orf_id, r.root from reach r join u a on a.orf_id = r.orf_id join u b on a.transcript_id = b.transcript_id and (a.start = b.start or a.stop = b.stop)),
+found as (select orf_id, min(root) structure from reach group by 1) """
+
+
+@query(_STRUCTURES + "select u.orf_id, u.transcript_id, u.start, u.stop, structure from u join found using (orf_id)")
 def structure_groups(spark, sf_dir):
     return G.structure_groups(_unique_orfs(spark, sf_dir))
 
 
+@query(_STRUCTURES + """, g as (select transcript_id, structure, max(cast(annotation = 'aTIS' as int)) annotated, count(*) members from u join found using (orf_id) group by 1, 2)
+select transcript_id, structure, members, cast(row_number() over (partition by transcript_id order by annotated desc, structure) as int) number from g""")
+def structure_numbers(spark, sf_dir):
+    orfs = _made(spark, sf_dir, "orfs").groupBy("orf_id").agg(*(F.min(c).alias(c) for c in ("transcript_id", "start", "stop", "annotation")))
+    return G.structure_order(G.structure_groups(orfs))
+
+
 @query(_with("psite", "exons", "dna") + f""", {_HIT}, t as (select x.transcript_id, d.seq from (select distinct transcript_id from exons) x join dna d on d.doc_id = x.transcript_id),
 c as (select substring(seq, cast(cdna - (cdna - 1) % 3 as integer), 3) codon, cast((cdna - 1) % 3 as integer) phase, cast(sum(cnt) as bigint) reads from hit join t using (transcript_id) group by 1, 2)
 select codon, phase, reads, round(100 * reads / (sum(reads) over ()), 6) percent from c where length(codon) = 3""")
@@ -279,13 +291,6 @@ def _floss(spark, sf_dir):
     return C.floss(psite, features, C.reference_fractions(psite, features))
 
 
-@query()
-def floss_cutoffs(spark, sf_dir):
-    from ribolith.operators import curves as K
-
-    return Q.floss_cutoff(K.rolling_extreme(_floss(spark, sf_dir), width=50)).withColumn("cutoff", F.round("cutoff", 6))
-
-
 @query("""with s as (select p_partkey feature_id, nullif(cast(p_size as bigint), 7) nreads, round(p_retailprice / 2000, 6) floss from part), c as (select distinct cast(p_size as bigint) nreads, 0.5 + p_size % 10 / 100.0 cutoff from part where p_size between 10 and 40)
 select feature_id, case when coalesce(s.nreads, 0) = 0 then 'No reads' when cutoff is null then 'Not in cutoff range' when floss < cutoff then 'Good' else 'Extreme' end as class from s left join c using (nreads)""")
 def floss_classes(spark, sf_dir):

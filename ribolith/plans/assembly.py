@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ribolith.functions.sequence import CODON_AMINO_ACIDS
 from ribolith.operators import haplotypes as H
-from ribolith.plans.registry import query
+from ribolith.operators import quality as Q
+from ribolith.plans.registry import ORACLES, QUERIES, query
 from ribolith.sources import adapters as T
 
 #: Variants of coding sequences in their own coordinates: single bases, deletions, insertions and several alternatives.
@@ -72,3 +73,26 @@ from hap left join tested t on t.orf_id = hap.orf_id and t.haplotype = hap.haplo
 def nonsynonymous_variants(spark, sf_dir):
     rows = _haplotypes(spark, sf_dir)[0]
     return rows.select("orf_id", "haplotype", H.log_text(H.nonsynonymous(F.col("seq"), F.col("log"))).alias("nonsynonymous"))
+
+
+_DET = "(s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2))"
+
+
+@query("with recursive w as (" + ORACLES["rolling_extremes"] + f"""), p as (select log10(mean_reads) x, extreme y, mean_reads from w where mean_reads > 0),
+o as (select x, row_number() over (order by x) r from p),
+n as (select count(*) n, min(x) lo, max(x) hi, min(mean_reads) first_, max(mean_reads) last_, greatest(1, cast(floor(count(*) * 0.75 * 0.2) as bigint)) most, greatest(1, least(count(*), cast(floor(count(*) * 0.75 + 1e-5) as bigint))) near,
+  0.005 * greatest(max(x) - min(x), 1e-3 * greatest(abs(min(x)), abs(max(x))) + 1e-30) m from p),
+cells as (select cast(1 as bigint) a, n z from n union all select unnest([a, (a + z) // 2 + 1]), unnest([(a + z) // 2, z]) from cells, n where z - a + 1 > most),
+v as (select distinct v from (select (p1.x + p2.x) / 2 v from cells join n on z - a + 1 > most join o p1 on p1.r = (a + z) // 2 join o p2 on p2.r = (a + z) // 2 + 1 union all select lo - m from n union all select hi + m from n)),
+d as (select v, x, y, row_number() over (partition by v order by abs(x - v)) r from v cross join p),
+h as (select v, max(abs(x - v)) * (1 + 1e-9) + 1e-300 h from d join n on r <= near group by 1),
+u as (select v, h, (x - v) / h u, y, case when abs((x - v) / h) < 1 then pow(1 - pow(abs((x - v) / h), 3), 3) else 0 end w from d join h using (v)),
+s as (select v, h, sum(w) s0, sum(w * u) s1, sum(w * u * u) s2, sum(w * u * u * u) s3, sum(w * u * u * u * u) s4, sum(w * y) t0, sum(w * u * y) t1, sum(w * u * u * y) t2 from u group by 1, 2),
+f as (select v, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - t2 * s3) + s2 * (t1 * s3 - t2 * s2)) / {_DET} f, (s0 * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / {_DET} / h g from s),
+k as (select v, f, g, lead(v) over o v1, lead(f) over o f1, lead(g) over o g1 from f window o as (order by v)),
+i as (select unnest(range(cast(ceil(first_) as bigint), cast(floor(last_) as bigint) + 1)) nreads from n),
+z as (select nreads, (log10(nreads) - v) / (v1 - v) z, v1 - v width, f, g, f1, g1 from i join k on log10(nreads) >= v and log10(nreads) < v1)
+select nreads, round(f * (1 - z) * (1 - z) * (1 + 2 * z) + f1 * z * z * (3 - 2 * z) + width * (g * z * (1 - z) * (1 - z) - g1 * z * z * (1 - z)), 6) cutoff from z""")
+def floss_cutoffs(spark, sf_dir):
+    windows = QUERIES["rolling_extremes"](spark, sf_dir)
+    return Q.floss_cutoff(windows).withColumn("cutoff", F.round("cutoff", 6))
