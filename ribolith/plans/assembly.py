@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ribolith.functions.sequence import CODON_AMINO_ACIDS
+from ribolith.functions.sequence import CODON_AMINO_ACIDS, NEAR_COGNATE, find_orfs
+from ribolith.operators import counts as C
+from ribolith.operators import genemodel as G
 from ribolith.operators import haplotypes as H
+from ribolith.operators import intervals as J
+from ribolith.operators import metagene as M
+from ribolith.operators import orfcalls as O
 from ribolith.operators import quality as Q
+from ribolith.operators import splitruns as R
 from ribolith.plans.registry import ORACLES, QUERIES, query
 from ribolith.sources import adapters as T
+from ribolith.sources import files as W
 
 #: Variants of coding sequences in their own coordinates: single bases, deletions, insertions and several alternatives.
 _ORF_VARIANTS = """select l_partkey orf_id, cast(1 + (l_suppkey * 7 + l_linenumber * 13) % 240 as bigint) tr_pos,
@@ -96,3 +103,158 @@ select nreads, round(f * (1 - z) * (1 - z) * (1 + 2 * z) + f1 * z * z * (3 - 2 *
 def floss_cutoffs(spark, sf_dir):
     windows = QUERIES["rolling_extremes"](spark, sf_dir)
     return Q.floss_cutoff(windows).withColumn("cutoff", F.round("cutoff", 6))
+
+
+_POINTS = "points as (select chr, strand, start, cast(sum(cnt) as bigint) cnt from psite group by 1, 2, 3)"
+_FRACTIONS = T.ctes("psite", "features") + f""", {_POINTS}, lengths as (select feature_id transcript_id, rpf, reads / sum(reads) over (partition by feature_id) fraction from (
+  select feature_id, rpf, sum(cnt) reads from psite p join features f on p.chr = f.chr and p.strand = f.strand and p.start between feature_start and feature_end group by 1, 2)),
+t as (select f.feature_id transcript_id, coalesce(sum(cnt), 0) * 100.0 / (feature_end - feature_start + 1) fpkm, case when count(p.start) > 0 then round(count(p.start) / (feature_end - feature_start + 1), 4) end score
+  from features f left join points p on p.chr = f.chr and p.strand = f.strand and p.start between feature_start and feature_end group by f.feature_id, feature_start, feature_end),
+known as (select *, fpkm >= 3 high from t where score is not null)"""
+
+
+def _run_inputs(spark, sf_dir):
+    """Transcripts with fpkm and score, and shares of fragment lengths, each with the run (four groups of chromosomes) that sees them."""
+    psite, features = T.psite(spark, sf_dir), T.features(spark, sf_dir)
+    bases = F.col("feature_end") - F.col("feature_start") + 1
+    rows = features.join(C.feature_counts(C.merged(psite), features), "feature_id", "left")
+    rows = rows.select(
+        F.col("feature_id").alias("transcript_id"), (F.coalesce("counts_sum", F.lit(0)) * 100.0 / bases).alias("fpkm"), F.round(F.col("counts_n") / bases, 4).alias("score"), (F.col("chr") % 4).alias("run")
+    )
+    shares = C.length_fractions(psite, features).withColumnRenamed("feature_id", "transcript_id")
+    return rows, shares.join(rows.select("transcript_id", "run"), "transcript_id")
+
+
+def _merged_runs(spark, sf_dir):
+    rows, shares = _run_inputs(spark, sf_dir)
+    folder = W.shared_folder(spark, "runs")
+    for run in range(4):
+        R.write_state(R.run_state(rows.where(F.col("run") == run), shares.where(F.col("run") == run)), folder, f"r{run}")
+    return rows, shares, R.merge_states(spark.read.parquet(folder))
+
+
+@query(_FRACTIONS + """, ref as (select r.rpf, coalesce(sum(fraction), 0) / (select count(distinct transcript_id) from lengths) ref from (select unnest(range(24, 37)) rpf) r left join lengths l on l.rpf = r.rpf group by 1),
+top as (select max(score) top from known where high),
+post as (select a.score, case when a.score = 0 then 0 when a.score > coalesce(top, -1) then 1 else (select count(*) from known b where b.high and b.score >= a.score) / (select count(*) from known b where b.score >= a.score) end posterior from (select distinct score from known) a, top),
+fl as (select i.transcript_id, sum(abs(coalesce(l.fraction, 0) - ref)) / 2 floss from (select distinct transcript_id from lengths) i cross join ref left join lengths l on l.transcript_id = i.transcript_id and l.rpf = ref.rpf group by 1)
+select t.transcript_id, round(posterior, 6) posterior, round(floss, 6) floss from t left join post using (score) left join fl on fl.transcript_id = t.transcript_id""")
+def split_run_scores(spark, sf_dir):
+    rows, shares, state = _merged_runs(spark, sf_dir)
+    return R.scored(rows, shares, state)
+
+
+@query(_FRACTIONS + """, r as (select high, score, (select count(*) from known b where not b.high and b.score < a.score) + (select count(*) from known b where not b.high and b.score = a.score) / 2 wins from known a)
+select count(*) filter (high) translated, count(*) filter (not high) other, round(quantile_cont(score, 0.95) filter (not high), 6) threshold, round(sum(wins) filter (high) / (count(*) filter (high) * count(*) filter (not high)), 6) auc from r""")
+def split_run_summary(spark, sf_dir):
+    return R.summary(_merged_runs(spark, sf_dir)[2])
+
+
+_KINDS = "[" + ", ".join(f"'{k}'" for k in [*M.REGIONS, *M.BIOTYPES, M.UNLISTED]) + "]"
+_BIOTYPE = "case when p_size % 2 = 0 then 'protein_coding' when p_partkey % 23 = 0 then 'other' else {b}[cast(p_partkey % 44 as int)] end"
+_TYPED = T.ctes("psite", "exons") + f""", {_POINTS}, cd as (select *, cast(coalesce(sum(exon_end - exon_start + 1) over (partition by transcript_id order by rank rows between unbounded preceding and 1 preceding), 0) + 1 as bigint) cdna_start from exons),
+bio as (select p_partkey transcript_id, {_BIOTYPE.format(b=_KINDS + "[5:48]").replace("% 44 as int)", "% 44 as int) + 1")} biotype from part),
+cds as (select transcript_id, 1 + sum(exon_end - exon_start + 1) // 6 cds_from, sum(exon_end - exon_start + 1) - sum(exon_end - exon_start + 1) // 6 cds_to from exons join bio using (transcript_id) where biotype = 'protein_coding' group by 1),
+piece as (select chr, strand, exon_start, exon_end, cdna_start, cdna_start + exon_end - exon_start cdna_end, cds_from, cds_to from cd join cds using (transcript_id)),
+cutp as (select *, cdna_start a, least(cdna_end, cds_from - 1) z, '5UTR' kind from piece union all select *, greatest(cdna_start, cds_from), least(cdna_end, cds_to), 'exon' from piece union all select *, greatest(cdna_start, cds_to + 1), cdna_end, '3UTR' from piece),
+span as (select transcript_id, chr, strand, min(exon_start) s, max(exon_end) e from exons group by 1, 2, 3),
+typed as (
+  select chr, strand, exon_start + case when strand = 1 then a - cdna_start else cdna_end - z end s, exon_end - case when strand = 1 then cdna_end - z else a - cdna_start end e, kind from cutp where a <= z
+  union all select chr, strand, s, e, 'intron' from span join cds using (transcript_id)
+  union all select chr, strand, s, e, case when biotype = 'other' then '{M.UNLISTED}' else biotype end from span join bio using (transcript_id) where biotype <> 'protein_coding'),
+best as (select p.chr, p.strand, p.start, max(cnt) cnt, arg_min(kind, list_position({_KINDS}, kind)) kind from points p left join typed t on p.chr = t.chr and p.strand = t.strand and p.start between s and e group by 1, 2, 3)
+"""
+
+
+def _classified(spark, sf_dir):
+    exons = T.exons(spark, sf_dir)
+    names = "array(" + ", ".join(f"'{b}'" for b in M.BIOTYPES) + ")"
+    bio = T.table(spark, sf_dir, "part").selectExpr("p_partkey transcript_id", f"{_BIOTYPE.format(b=names)} biotype")
+    length = F.sum(F.expr("exon_end - exon_start + 1"))
+    coding = exons.join(bio.where("biotype = 'protein_coding'"), "transcript_id").groupBy("transcript_id").agg(length.alias("n"))
+    cds = coding.selectExpr("transcript_id", "1 + n div 6 cds_from", "n - n div 6 cds_to")
+    return M.classify(C.merged(T.psite(spark, sf_dir)), M.typed_intervals(exons, cds, bio))
+
+
+@query(_TYPED + """select chr, cast(sum(cnt) as bigint) reads, """ + ", ".join(f"cast(coalesce(sum(cnt) filter (kind = '{k}'), 0) as bigint) {n}" for k, n in (("exon", "exon"), ("5UTR", "utr5"), ("3UTR", "utr3"), ("intron", "intron"))) + """,
+cast(coalesce(sum(cnt) filter (kind not in ('5UTR', '3UTR', 'exon', 'intron')), 0) as bigint) noncoding, cast(coalesce(sum(cnt) filter (kind is null), 0) as bigint) intergenic from best group by 1""")
+def metagenic_classes(spark, sf_dir):
+    return M.class_table(_classified(spark, sf_dir))
+
+
+@query(_TYPED + "select chr, kind biotype, cast(sum(cnt) as bigint) reads from best where kind not in ('5UTR', '3UTR', 'exon', 'intron') group by 1, 2")
+def metagenic_biotypes(spark, sf_dir):
+    return M.biotype_table(_classified(spark, sf_dir))
+
+
+#: Frames of transcripts, the finder's p-values (some without one, some of unknown frames), and annotated sites.
+_FRAMES = "p_partkey transcript_id, cast(1 + p_size % 17 as bigint) cdna_from, cast(3 * p_size as bigint) length"
+_KEPT = "select concat('L', cast(l_partkey + case when l_suppkey % 7 = 0 then 1000000 else 0 end as string)) prior_location, case when l_suppkey % 13 <> 0 then round(l_tax, 4) end pvalue from {t} where l_linenumber < 3"
+_SITES = "p_partkey transcript_id, cast(case when p_partkey % 3 = 0 then 1 + p_size % 17 else 1 + p_size % 29 end as bigint) at_, cast(5 + 6 * p_size as bigint) end_"
+_FOUND = T.ctes("psite", "exons") + f""", {_POINTS}, cd as (select *, cast(coalesce(sum(exon_end - exon_start + 1) over (partition by transcript_id order by rank rows between unbounded preceding and 1 preceding), 0) + 1 as bigint) cdna_start from exons),
+frames as (select {_FRAMES} from part), pl as (select transcript_id, chr, strand, exon_start, exon_end, cdna_start, greatest(cdna_start, cdna_from) lo, least(cdna_start + exon_end - exon_start, cdna_from + length - 1) hi from cd join frames using (transcript_id)),
+pc as (select transcript_id, chr, strand, case when strand = 1 then exon_start + lo - cdna_start else exon_end - (hi - cdna_start) end a, case when strand = 1 then exon_start + hi - cdna_start else exon_end - (lo - cdna_start) end z from pl where lo <= hi),
+found as (select 'ENST' || transcript_id || '_CDS_' || transcript_id % 3 orf_id, 'L' || transcript_id prior_location, chr || case when strand = 1 then '+' else '-' end || case when transcript_id % 31 = 0 then ';' else ':' end || string_agg((a - 1) || '-' || z, '|' order by a) as location from pc group by transcript_id, chr, strand),
+kept as ({_KEPT.format(t="lineitem")}), good as (select prior_location, min(pvalue) pvalue from kept where pvalue is not null group by 1), both_ as (select f.*, pvalue from found f join good using (prior_location)),
+parsed as (select orf_id, regexp_extract(orf_id, '^(.*)_[^_]*_[^_]*$', 1) transcript, pvalue, cast(regexp_extract(location, '^(.+)([+-]):(.*)$', 1) as bigint) chr, case when regexp_extract(location, '^(.+)([+-]):(.*)$', 2) = '+' then 1 else -1 end strand,
+  list_transform(str_split(regexp_extract(location, '^(.+)([+-]):(.*)$', 3), '|'), lambda p: [cast(str_split(p, '-')[1] as bigint) + 1, cast(str_split(p, '-')[2] as bigint)]) parts from both_ where regexp_matches(location, '^.+[+-]:')),
+"""
+
+
+def _calls(spark, sf_dir):
+    part, exons = T.table(spark, sf_dir, "part"), T.exons(spark, sf_dir)
+    frames = part.selectExpr(*_FRAMES.split(", "), "p_partkey orf_id")
+    shape = G.orf_structure(frames, exons).join(exons.select(F.col("transcript_id").alias("orf_id"), "chr", "strand").distinct(), "orf_id")
+    pairs = F.array_sort(F.transform(F.arrays_zip(F.split("starts", "_").alias("a"), F.split("ends", "_").alias("z")), lambda p: F.struct(p["a"].cast("long").alias("a"), p["z"].cast("long").alias("z"))))
+    text = F.array_join(F.transform(pairs, lambda p: F.concat_ws("-", (p["a"] - 1).cast("string"), p["z"].cast("string"))), "|")
+    place = F.concat(F.col("chr").cast("string"), F.when(F.col("strand") == 1, "+").otherwise("-"), F.when(F.col("orf_id") % 31 == 0, ";").otherwise(":"), text)
+    own = F.col("orf_id").cast("string")
+    found = shape.select(F.concat(F.lit("ENST"), own, F.lit("_CDS_"), (F.col("orf_id") % 3).cast("string")).alias("orf_id"), place.alias("location"), F.concat(F.lit("L"), own).alias("prior_location"), F.lit("ATG").alias("start_codon"), F.lit("CDS").alias("caller_annotation"))
+    return O.join_calls(found, spark.sql(_KEPT, t=T.table(spark, sf_dir, "lineitem")))
+
+
+def _named(df):
+    return df.withColumn("transcript", F.concat(F.lit("ENST"), F.col("transcript_id").cast("string"))).drop("transcript_id")
+
+
+@query(_FOUND + """sites as (select transcript_id, at_, end_ from (select """ + _SITES + """ from part) where transcript_id % 5 <> 0),
+geno as (select c.transcript_id, max(case when at_ between cdna_start and cdna_start + exon_end - exon_start then case when strand = 1 then exon_start + at_ - cdna_start else exon_end - (at_ - cdna_start) end end) atis,
+  max(case when end_ between cdna_start and cdna_start + exon_end - exon_start then case when strand = 1 then exon_start + end_ - cdna_start else exon_end - (end_ - cdna_start) end end) cds_stop from cd c join sites using (transcript_id) group by 1),
+e as (select p.*, case when strand = 1 then parts[1][1] else parts[-1][2] end start, case when strand = 1 then parts[-1][2] else parts[1][1] end stop, atis, cds_stop from parsed p left join geno g on p.transcript = 'ENST' || g.transcript_id),
+at_ as (select e.orf_id, min(case when e.start between exon_start and exon_end then cdna_start + case when e.strand = 1 then e.start - exon_start else exon_end - e.start end end) s,
+  min(case when e.atis between exon_start and exon_end then cdna_start + case when e.strand = 1 then e.atis - exon_start else exon_end - e.atis end end) t from e join cd on e.transcript = 'ENST' || cd.transcript_id group by 1),
+r as (select orf_id, sum(cnt) n, count(*) covered from (select orf_id, chr, strand, unnest(parts) p from parsed) x join points q on q.chr = x.chr and q.strand = x.strand and q.start between x.p[1] and x.p[2] group by 1),
+b as (select orf_id, list_sum(list_transform(parts, lambda p: p[2] - p[1] + 1)) bases from parsed)
+select e.orf_id, e.chr, e.strand, e.start, e.stop, array_to_string(list_transform(parts, lambda p: p[1]), '_') starts, array_to_string(list_transform(parts, lambda p: p[2]), '_') ends, pvalue,
+ s dist_to_transcript_start, s - t dist_to_atis, case when atis is null then 'ntr' when e.start = atis then 'aTIS' when (e.start - atis) * e.strand < 0 then '5UTR' when (cds_stop - e.start) * e.strand >= 0 then 'CDS' else '3UTR' end annotation,
+ cast(coalesce(n, 0) as bigint) "count", round(coalesce(covered, 0) / bases, 6) coverage, round(coalesce(n, 0) / ((select sum(cnt) from points) / 1e6) / (bases / 1000), 6) fpkm
+from e left join at_ using (orf_id) left join r using (orf_id) join b using (orf_id)""")
+def external_calls(spark, sf_dir):
+    calls, _ = _calls(spark, sf_dir)
+    exons = J.with_cdna(T.exons(spark, sf_dir))
+    wanted = T.table(spark, sf_dir, "part").selectExpr(*_SITES.split(", ")).where("transcript_id % 5 <> 0")
+    place = lambda c: F.max(F.when(F.col(c).between(F.col("cdna_start"), F.col("cdna_end")), J.genome_position(c)))
+    sites = exons.join(wanted, "transcript_id").groupBy("transcript_id").agg(place("at_").alias("atis"), place("end_").alias("cds_stop"))
+    points = C.merged(T.psite(spark, sf_dir))
+    rows = O.score_annotation(calls, _named(exons.select("transcript_id", "exon_start", "exon_end", "cdna_start")), _named(sites), points, points.agg(F.sum("cnt")).first()[0] or 0)
+    return rows.select("orf_id", F.col("chr").cast("long").alias("chr"), "strand", "start", "stop", "starts", "ends", "pvalue", "dist_to_transcript_start", "dist_to_atis", "annotation", "count", "coverage", "fpkm")
+
+
+@query(_FOUND + """u as (select prior_location, location, 'location' reason from both_ where not regexp_matches(location, '^.+[+-]:') union all select prior_location, null, 'unknown' from good where prior_location not in (select prior_location from found)
+union all select prior_location, null, 'pvalue' from kept where pvalue is null) select * from u""")
+def rejected_calls(spark, sf_dir):
+    return _calls(spark, sf_dir)[1]
+
+
+_CALLED = "doc_id, row_number() over (partition by doc_id order by start, \"end\", codon) k, case doc_id % 5 when 1 then substring(s, 1, length(s) - 3) when 2 then s || 'AAATAA' else s end seq, case when doc_id % 7 = 0 then 'CCC' else codon end start_codon"
+
+
+@query("with recursive o as (" + ORACLES["open_reading_frames"] + "), " + T.ctes("dna").removeprefix("with ") + f""", f as (select o.*, substring(seq, cast(start as int), cast("end" - start + 1 as int)) s from o join dna using (doc_id)),
+called as (select {_CALLED} from f), {_CODE},
+cd as (select doc_id, k, seq, start_codon, unnest(range(length(seq) // 3)) i from called), aa as (select doc_id, k, any_value(seq) seq, any_value(start_codon) start_codon, string_agg(coalesce(code.aa, 'X'), '' order by i) aa from cd left join code on codon = substring(seq, cast(3 * i + 1 as int), 3) group by 1, 2)
+select doc_id, cast(k as int) k, case when substring(seq, 1, 3) <> start_codon then 'Unmatching_start_codon' when instr(aa, '*') = 0 then 'no_stop' when instr(aa, '*') < length(aa) then 'early_stop' else 'ok' end status,
+md5(case when regexp_matches(substring(seq, 1, 3), '{NEAR_COGNATE}') then 'M' || substring(aa, 2) else aa end) aa from aa""")
+def checked_calls(spark, sf_dir):
+    frames = T.dna(spark, sf_dir).select("doc_id", "seq", F.explode(find_orfs(F.col("seq"), 10)).alias("o"))
+    frames = frames.select("doc_id", "o.start", "o.end", "o.codon", F.substring("seq", F.col("o.start"), F.col("o.end") - F.col("o.start") + 1).alias("s"))
+    rows = spark.sql("select " + _CALLED.replace('"', "`") + " from {t}", t=frames).withColumn("orf_id", F.struct("doc_id", "k"))
+    return O.checked(rows.select("orf_id", "start_codon"), rows.select("orf_id", "seq")).select("orf_id.doc_id", "orf_id.k", "status", F.md5("aa").alias("aa"))

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ribolith.operators.orfcalls import join_calls
 from ribolith.operators.ranges import running
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below `spark.checkpoint.dir`, which driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
 def read_alignments(spark: SparkSession, path: str) -> DataFrame:
     """SAM text without header lines: the eleven fixed fields and the tags NH, HI and MD."""
     parts = F.split("value", "\t")
@@ -62,6 +73,22 @@ def read_expression(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("tracking_id").agg(F.min(F.col("FPKM").cast("double")).alias("fpkm"))
 
 
+def read_orf_calls(spark: SparkSession, table: str, locations: str) -> tuple[DataFrame, DataFrame]:
+    """(calls, rejected) of an external ORF finder (S7): a tab-separated table of all frames, and the kept ones by prior location.
+
+    The table has a header; its second to sixth fields are id, location, prior location, start codon and type. A line of the other file is the prior
+    location, a tab, and fields between spaces of which the fourth is `p=…`.
+    """
+    fields = F.split("value", "\t")
+    at = lambda i: F.try_element_at(fields, F.lit(i))
+    lines = spark.read.csv(table, sep="\t", header=True, quote="", comment=None)
+    names = ("orf_id", "location", "prior_location", "start_codon", "caller_annotation")
+    found = lines.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(lines.columns[1:6], names)))
+    p = F.regexp_extract(F.coalesce(F.try_element_at(F.split(at(2), " "), F.lit(4)), F.lit("")), r"^p=(\S+)$", 1)
+    kept = spark.read.text(locations).where("length(value) > 0").select(at(1).alias("prior_location"), p.try_cast("double").alias("pvalue"))
+    return join_calls(found, kept)
+
+
 def write_counts(counts: DataFrame, path: str) -> None:
     """Position counts rounded to three decimals without zeros, a folder for each chr."""
     counts.where("count <> 0").withColumn("count", F.round("count", 3)).write.partitionBy("chr").parquet(path)
