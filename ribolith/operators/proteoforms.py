@@ -110,20 +110,21 @@ def classification_counts(df: DataFrame) -> DataFrame:
 
 
 def columns_of(a: Column, b: Column) -> Column:
-    """array<struct<x, y, at>> of an aligned pair: its residues, - for gaps, and the place in the second without gaps."""
-    seq = F.sequence(F.lit(1), F.length(a))
-    return F.transform(seq, lambda i: F.struct(F.substring(a, i, F.lit(1)).alias("x"), F.substring(b, i, F.lit(1)).alias("y"), F.length(F.replace(F.substring(b, F.lit(1), i), F.lit("-"), F.lit(""))).alias("at")))
+    """array<struct<x, y>> of an aligned pair: its residues, - for gaps."""
+    return F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
 
 
 def variant_descriptions(df: DataFrame, key: str = "id", a: str = "a", b: str = "b") -> DataFrame:
     """(key, simple, complex): of an aligned pair the single substitutions as place|residue and the other differing runs as start|end|residues.
 
-    Places count in `b`, the base; an insertion is given with the place before it. Runs of neighbouring differing columns come from
-    gaps and islands.
+    Places count in `b`, the base; an insertion is given with the place before it. Places are running counts over the pair's columns; runs of
+    neighbouring differing columns come from gaps and islands.
     """
-    rows = df.select(key, F.posexplode(columns_of(F.col(a), F.col(b))).alias("p", "c")).where("c.x <> c.y")
-    rows = rows.withColumn("run", F.col("p") - F.row_number().over(Window.partitionBy(key).orderBy("p")))
-    each = rows.groupBy(key, "run").agg(F.sort_array(F.collect_list(F.struct("p", "c.x", "c.y", "c.at"))).alias("l"))
+    order = Window.partitionBy(key).orderBy("p")
+    rows = df.where(F.col(a) != F.col(b)).select(key, F.posexplode(columns_of(F.col(a), F.col(b))).alias("p", "c")).select(key, "p", "c.x", "c.y")
+    rows = rows.withColumn("at", F.sum((F.col("y") != "-").cast("int")).over(order).cast("int")).where("x <> y")
+    rows = rows.withColumn("run", F.col("p") - F.row_number().over(order))
+    each = rows.groupBy(key, "run").agg(F.sort_array(F.collect_list(F.struct("p", "x", "y", "at"))).alias("l"))
     alt = F.replace(F.array_join(F.transform("l", lambda x: x["x"]), ""), F.lit("-"), F.lit(""))
     single = (F.size("l") == 1) & (F.col("l")[0]["x"] != "-") & (F.col("l")[0]["y"] != "-")
     first, last = F.col("l")[0]["at"], F.element_at("l", -1)["at"]
@@ -135,7 +136,8 @@ def variant_descriptions(df: DataFrame, key: str = "id", a: str = "a", b: str =
 
 def pair_shape(a: Column, b: Column) -> Column:
     """One letter for each column of an aligned pair: = equal, x substituted, i only in the first, d only in the second."""
-    return F.array_join(F.transform(columns_of(a, b), lambda c: F.when(c["x"] == c["y"], "=").when(c["y"] == "-", "i").when(c["x"] == "-", "d").otherwise("x")), "")
+    letter = lambda x, y: F.when(x == y, "=").when(y == "-", "i").when(x == "-", "d").otherwise("x")
+    return F.array_join(F.zip_with(F.split(a, ""), F.split(b, ""), letter), "")
 
 
 def classify_pair(a: Column, b: Column, annotation: Column) -> Column:

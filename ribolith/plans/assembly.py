@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ribolith.functions.sequence import CODON_AMINO_ACIDS, NEAR_COGNATE, find_orfs
+from ribolith.operators import confirmation as K
 from ribolith.operators import counts as C
 from ribolith.operators import genemodel as G
 from ribolith.operators import haplotypes as H
 from ribolith.operators import intervals as J
 from ribolith.operators import metagene as M
 from ribolith.operators import orfcalls as O
+from ribolith.operators import proteoforms as P
 from ribolith.operators import quality as Q
 from ribolith.operators import splitruns as R
 from ribolith.plans.registry import ORACLES, QUERIES, query
@@ -258,3 +260,76 @@ def checked_calls(spark, sf_dir):
     frames = frames.select("doc_id", "o.start", "o.end", "o.codon", F.substring("seq", F.col("o.start"), F.col("o.end") - F.col("o.start") + 1).alias("s"))
     rows = spark.sql("select " + _CALLED.replace('"', "`") + " from {t}", t=frames).withColumn("orf_id", F.struct("doc_id", "k"))
     return O.checked(rows.select("orf_id", "start_codon"), rows.select("orf_id", "seq")).select("orf_id.doc_id", "orf_id.k", "status", F.md5("aa").alias("aa"))
+
+
+#: Aligned pairs: each document's protein as the canonical form, and an edited one, cut, extended and changed by amounts that follow the row.
+_EDIT = """doc_id id, aa, n, 3 + doc_id % 7 + n % 5 g, cast(n / 3 as int) + 1 m, doc_id % 12 kind from (select doc_id, aa, length(aa) n from {t}) where n > 40"""
+_ALIGNED = """id, case
+ when kind = 0 then concat(reverse(substring(aa, m, g)), aa) when kind = 1 then concat(aa, reverse(substring(aa, m, g))) when kind = 2 then concat(repeat('-', g), substring(aa, g + 1)) when kind = 3 then concat(substring(aa, 1, n - g), repeat('-', g))
+ when kind = 4 then concat(substring(aa, 1, m), repeat('-', g), substring(aa, m + g + 1)) when kind = 5 then concat(substring(aa, 1, m), reverse(substring(aa, 1, g)), substring(aa, m + 1)) when kind = 6 then concat(substring(aa, 1, m), translate(substring(aa, m + 1, 1), 'ACDEFGHIKLMNPQRSTVWY', 'CDEFGHIKLMNPQRSTVWYA'), substring(aa, m + 2))
+ when kind = 7 then concat(substring(aa, 1, g), '--', substring(aa, g + 3, m), repeat('-', g), substring(aa, 2 * g + m + 3)) when kind = 8 then concat(reverse(substring(aa, m, g)), translate(substring(aa, 1, m), 'ACDEFGHIKL', 'CDEFGHIKLA'), substring(aa, m + 1))
+ when kind = 9 then translate(aa, 'ACDEFGHIKLMNPQRSTVWY', 'CDEFGHIKLMNPQRSTVWYA') when kind = 10 then concat(repeat('-', g), 'M', translate(substring(aa, g + 2, 2), 'ACDEFGHIKL', 'CDEFGHIKLA'), substring(aa, g + 4)) else aa end a,
+ case when kind in (0, 8) then concat(repeat('-', g), aa) when kind = 1 then concat(aa, repeat('-', g)) when kind = 5 then concat(substring(aa, 1, m), repeat('-', g), substring(aa, m + 1)) else aa end b,
+ case when n % 9 = 0 then 'ntr' when n % 9 = 1 then '3UTR' when n % 9 = 2 then '5UTR' else 'CDS' end annotation, case when n % 4 = 0 then 'lincRNA' when n % 4 = 1 then 'antisense' end biotype,
+ case when n % 11 = 0 then 'non-coding' else concat('P', cast(id as string)) end canonical, case when n % 2 = 0 then 1 else -1 end strand, n * 7 % 1000 as start, 400 canonical_start, 600 canonical_stop, case when n % 5 = 0 then 'Y' when n % 5 = 1 then 'N' end in_phase"""
+_PAIRS = T.ctes("protein") + ", edited as (select " + _EDIT.format(t="protein").replace("n / 3 as int", "n // 3 as int") + "), pairs as (select " + _ALIGNED + """ from edited),
+cut as (select id, regexp_extract_all(replace(a, '-', ''), '[^KR]*[KR]|[^KR]+$') l from pairs), peptides as (select distinct id, unnest([l[1], l[2], l[-1], case when len(l) > 2 then l[2] || l[3] end]) peptide from cut),
+shapes as (select *, array_to_string(list_transform(list_zip(str_split(a, ''), str_split(b, '')), lambda c: case when c[1] = c[2] then '=' when c[2] = '-' then 'i' when c[1] = '-' then 'd' else 'x' end), '') shape,
+  array_to_string(list_transform(list_zip(str_split(a, ''), str_split(b, '')), lambda c: case when c[1] = c[2] then c[1] else ' ' end), '') mask from pairs)
+"""
+
+
+def _pairs(spark, sf_dir):
+    edited = spark.sql("select " + _EDIT, t=T.protein(spark, sf_dir))
+    return spark.sql("select " + _ALIGNED + " from {t}", t=edited)
+
+
+def _proving(pairs):
+    """Of each edited protein the first, second and last tryptic piece, and one with a missed cleavage."""
+    pieces = F.regexp_extract_all(F.replace("a", F.lit("-"), F.lit("")), F.lit("([^KR]*[KR]|[^KR]+$)"), F.lit(1))
+    at = lambda i: F.try_element_at("l", F.lit(i))
+    both = F.when(F.size("l") > 2, F.concat(at(2), at(3)))
+    return pairs.select("id", pieces.alias("l")).select("id", F.explode(F.array(at(1), at(2), at(-1), both)).alias("peptide")).distinct()
+
+
+@query(_PAIRS + """, s as (select *, replace(a, '-', '') novel, replace(b, '-', '') known, list_transform(list_filter(list_zip(str_split(a, ''), range(1, length(shape) + 1)), lambda c: c[1] <> '-'), lambda c: c[2]) cols, length(shape) n, length(regexp_extract(shape, '^(i+|d+)', 1)) head, length(regexp_extract(shape, '(i+|d+)$', 1)) tail from shapes),
+p as (select s.*, peptide, instr(novel, peptide) - 1 st from s join peptides using (id) where length(peptide) > 0 and instr(novel, peptide) > 0),
+f as (select *, case when st = 0 then 0 else cols[st] end cs, case when st + length(peptide) - 1 = 0 then 0 else cols[st + length(peptide) - 1] end ce, instr(known, peptide) = 0 absent,
+  (instr(novel, 'K' || peptide) > 0 or instr(novel, 'R' || peptide) > 0) and instr(known, 'K' || peptide) = 0 and instr(known, 'R' || peptide) = 0 cleaved, starts_with(novel, 'M' || peptide) and not starts_with(known, 'M' || peptide) init from p),
+ev as (select id, bool_or(cs <= head and absent) hs, bool_or(ce >= n - tail and absent) ts, bool_or(cs - head in (1, 2) and (absent or cleaved or init)) hl, bool_or(n - tail - ce in (0, 1) and absent) tl from f group by 1),
+r as (select s.*, coalesce(hs, false) hs, coalesce(ts, false) ts, coalesce(hl, false) hl, coalesce(tl, false) tl, case when regexp_matches(shape, '^[id]') then substring(shape, head + 2) else substring(shape, 1, n - tail) end rest,
+  case when regexp_matches(shape, '^[id]') then substring(mask, head + 2) else substring(mask, 1, n - tail) end rmask from s left join ev using (id)),
+rr as (select *, case when regexp_matches(shape, '^[id]') then substring(a, n - length(rest) + 1) else substring(a, 1, length(rest)) end ra, list_sort(list_transform(str_split(rmask, ' '), lambda t, i: {'n': length(t), 'i': -i, 't': t}), 'desc')[1] best from r),
+k as (select *, case when regexp_matches(shape, '^i') then 'N-terminal extension' when regexp_matches(shape, 'i$') then 'C-terminal extension' when regexp_matches(shape, '^d') then 'N-terminal truncation' when regexp_matches(shape, 'd$') then 'C-terminal truncation' end edge,
+  case when regexp_matches(shape, '^i') then hs when regexp_matches(shape, 'i$') then ts when regexp_matches(shape, '^d') then hl else tl end shown,
+  len(regexp_extract_all(shape, 'd+')) dr, len(regexp_extract_all(shape, 'i+')) ir, length(regexp_replace(shape, '[^=]', '', 'g')) same, length(regexp_replace(shape, '[^=x]', '', 'g')) solid from rr)
+select id, case when annotation = 'ntr' then 'Translation in NTR' || coalesce(', ' || biotype, '') when annotation = '3UTR' then case when strand * (canonical_stop - start) < 0 then 'dORF' else '' end
+ when solid > 0 and same / solid > 0.35 then case
+  when edge is not null then case when regexp_matches(rest, '^=*$') then edge || case when shown then '' else ', without confirming peptide' end when not regexp_matches(rest, '[^=][^=]') then 'Multiple variations'
+   when best.n / length(rest) > 0.1 and case when edge[1] = 'N' then ends_with(ra, best.t) else starts_with(ra, best.t) end then edge[1] || '-terminal splice variant' else 'Multiple variations' end
+  when dr = 1 then case when regexp_matches(shape, '^=+d+=+$') then 'exon exclusion' else 'exon exclusion, more complex' end when ir = 1 then case when regexp_matches(shape, '^=+i+=+$') then 'exon inclusion' else 'exon inclusion, more complex' end
+  when dr in (2, 3) then 'exon exclusion' when ir in (2, 3) then 'exon inclusion' when dr + ir > 0 then '' when regexp_matches(shape, '^=*$') then case when canonical = 'non-coding' then 'Sequence absent in UniProt' else 'Found with Ensembl check' end
+  when not regexp_matches(shape, '[^=][^=]') then 'Only amino acid substitutions' else 'Multiple variations' end
+ when strand * (start - canonical_start) < 0 then 'uORF' when in_phase = 'N' then 'Out of frame ORF' else '' end as class from k""")
+def confirmed_classes(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    return K.classify_proteoforms(pairs, _proving(pairs))
+
+
+@query(_PAIRS + """, c as (select id, unnest(range(1, length(shape) + 1)) p, unnest(str_split(a, '')) x, unnest(str_split(b, '')) y from shapes where a <> b),
+d as (select *, cast(sum(case when y <> '-' then 1 else 0 end) over (partition by id order by p) as int) at_ from c), e as (select *, p - row_number() over (partition by id order by p) run from d where x <> y),
+g as (select id, min(p) p, count(*) n, any_value(x) x1, any_value(y) y1, min(at_) first_, max(at_) last_, replace(string_agg(x, '' order by p), '-', '') alt from e group by id, run),
+t as (select id, p, n = 1 and x1 <> '-' and y1 <> '-' single, first_, last_, alt from g)
+select s.id, coalesce(string_agg(first_ || '|' || alt, ';' order by p) filter (single), '') simple, coalesce(string_agg(first_ || '|' || last_ || '|' || alt, ';' order by p) filter (not single), '') complex from shapes s left join t using (id) group by 1""")
+def aligned_variants(spark, sf_dir):
+    return P.variant_descriptions(_pairs(spark, sf_dir))
+
+
+@query(T.ctes("protein") + """, pep as (select distinct peptide from (select unnest(regexp_extract_all(aa, '[^KR]*[KR]|[^KR]+$')) peptide from protein)),
+w as (select doc_id, aa, unnest(range(1, length(aa) + 1)) p from protein)
+select peptide, doc_id protein_id, cast(p as int) "at" from pep join w on substring(aa, p, 6) = substring(peptide, 1, 6) and substring(aa, p, length(peptide)) = peptide where length(peptide) >= 6
+union all select peptide, doc_id, cast(p as int) from pep join (select *, unnest(range(1, 6)) n from w) w on length(peptide) = n and substring(aa, p, n) = peptide""")
+def located_peptides(spark, sf_dir):
+    proteins = T.protein(spark, sf_dir).withColumnRenamed("doc_id", "protein_id").withColumnRenamed("aa", "seq")
+    peptides = proteins.select(F.explode(F.regexp_extract_all("seq", F.lit("([^KR]*[KR]|[^KR]+$)"), F.lit(1))).alias("peptide"))
+    return K.locate_peptides(peptides, proteins)
