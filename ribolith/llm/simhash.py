@@ -24,6 +24,10 @@ BITS = 64
 CHUNK = 1 << 15
 #: Words of 64 bits of a wide fingerprint.
 WIDE = 4
+#: Share of bits in which fingerprints of word pairs differ at a similarity of 0.8 of five-word shingles (measured), and the chance that such a pair shares no block.
+PAIR_BITS, MISSED = 0.086, 0.01
+#: Nodes of a block that meet in a join, and nodes of a larger group that are compared in one task.
+CROWD, PART = 8, 2048
 
 
 def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
@@ -138,7 +142,7 @@ def wide_fingerprints(texts: list[bytes], width: int):
 
 
 def _thin(df: DataFrame, width: int) -> DataFrame:
-    """(doc_id, v0.. of shingles of `width` words, b0.. of word pairs, node: a hash of all) for each row of `df` (doc_id, text)."""
+    """(doc_id, th: a hash of the text, v0.. of shingles of `width` words, b0.. of word pairs, node: a hash of both) for each row of `df` (doc_id, text)."""
     names = [f"{kind}{k}" for kind in "vb" for k in range(WIDE)]
 
     def run(batches):
@@ -149,72 +153,192 @@ def _thin(df: DataFrame, width: int) -> DataFrame:
                 b = whole.slice(at, 512)
                 texts = as_bytes(b.column("text"))
                 cols = [x.view("<i8")[:, k] for x in (wide_fingerprints(texts, width), wide_fingerprints(texts, 2)) for k in range(WIDE)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c) for c in cols)], names=["doc_id", *names])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), *(pa.array(c) for c in cols)], names=["doc_id", "th", *names])
         release()
 
-    made = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    made = rows.mapInArrow(run, "doc_id long, th long, " + ", ".join(f"{n} long" for n in names))
     return made.withColumn("node", F.xxhash64(*names))
 
 
-def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = 8) -> DataFrame:
-    """Edges (a, b) between `nodes` (node, v0.., b0..) whose fingerprints v differ in at most `distance` bits.
+def block_plan(nodes: int) -> tuple[int, int]:
+    """(bits of a block, number of blocks) for that many nodes.
 
-    Nodes meet on a block of 16 bits of b. A block value that more than `crowd` nodes share is split by each of the three blocks
-    after it; where even two blocks are shared by more, all of them are compared with the one of them with the least node, so
-    rows grow in proportion however large a group of copies is.
+    A block has six bits more than it takes to number the nodes, so that few unlike nodes share one, at any size. Blocks are so many that a pair at the
+    bar, whose fingerprints of word pairs differ in about `PAIR_BITS` of their bits, shares none with a chance of `MISSED`, were its bits
+    independent. Both follow from the number of nodes alone; blocks overlap when they have more bits than there are.
+    """
+    width = min(64, max(16, math.ceil(math.log2(max(2, nodes))) + 6))
+    return width, math.ceil(math.log(MISSED) / math.log(1 - (1 - PAIR_BITS) ** width))
+
+
+def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = CROWD) -> DataFrame:
+    """Edges (a, b) between `nodes` (node, v0.., b0..) that share a block of b and whose fingerprints v differ in at most `distance` bits.
+
+    Nodes of a block that at most `crowd` share meet in a join of their names; fingerprints come to the pairs after. Larger groups are dealt into parts of
+    at most `PART` nodes by a hash, in an order of its own for each block. A part is compared in full in its task and gives the edges that connect it; one
+    node for each of its components goes on to the next round, until a group fits into one part. So no group is gathered and no pairs are
+    listed; only links between parts, of two nodes that no chain inside the parts joins to the ones that go on, can be missed in a block, and other blocks
+    deal the same nodes otherwise.
     """
-    blocks = [F.shiftrightunsigned(f"b{k}", 16 * i).bitwiseAND(0xFFFF) for k in range(WIDE) for i in range(4)]
-    n = len(blocks)
     verify = [f"v{k}" for k in range(WIDE)]
-    keyed = nodes.select("node", *verify, F.posexplode(F.array(*blocks)).alias("i", "x"))
-    keyed = _counted(keyed.select("node", *verify, (F.col("i") * 65536 + F.col("x")).alias("key")), stage)
-    few = keyed.where(F.col("n") <= crowd).select("node", *verify, "key")
-    pairs = stage.write(_close(few, few, ["key"], verify, distance))
-    crowded = keyed.where(F.col("n") > crowd).select("node", "key")
-    deeper = crowded.join(nodes.select("node", *verify, F.array(*blocks).alias("blocks")), "node")
-    after = F.explode(F.expr(f"transform(array(1, 2, 3), j -> j * 65536L + blocks[cast(key div 65536 + j as int) % {n}])")).alias("y")
-    deeper = deeper.select("node", *verify, "key", after).withColumn("key", F.col("key").cast("long") * (1 << 20) + F.col("y")).drop("y")
-    deeper = _counted(deeper, stage)
-    few = deeper.where(F.col("n") <= crowd).select("node", *verify, "key")
-    more = stage.write(_close(few, few, ["key"], verify, distance))
-    many = deeper.where(F.col("n") > crowd).select("node", *verify, "key")
-    least = many.groupBy("key").agg(F.min(F.struct("node", *verify)).alias("least")).select("key", "least.*")
-    star = stage.write(_close(least, many, ["key"], verify, distance))
-    stage.drop(keyed)
-    stage.drop(deeper)
-    return pairs.unionByName(more).unionByName(star).distinct()
-
-
-def _counted(keyed: DataFrame, stage: Stage) -> DataFrame:
-    """The rows of keys that several nodes hold, with their number n. Counts grow with the nodes and are never broadcast."""
-    return stage.write(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").hint("merge"), "key"))
-
-
-def _close(left: DataFrame, right: DataFrame, on: list, verify: list, distance: int) -> DataFrame:
-    a = left.select(*on, F.col("node").alias("a"), *(F.col(v).alias(f"x{v}") for v in verify))
-    b = right.select(*on, F.col("node").alias("b"), *verify)
-    apart = sum((F.bit_count(F.col(v).bitwiseXOR(F.col(f"x{v}"))) for v in verify), F.lit(0))
-    return a.join(b.hint("merge"), on).where((F.col("a") < F.col("b")) & (apart <= distance)).select("a", "b").distinct()
+    width, count = block_plan(nodes.count())
+    key = [_block([f"b{k}" for k in range(WIDE)], round(i * 64 * WIDE / count) % (64 * WIDE), width) for i in range(count)]
+    keyed = nodes.select("node", F.posexplode(F.array(*key)).alias("i", "x")).select("node", F.xxhash64("i", "x").alias("key"))
+    keyed = keyed.repartition("key")
+    several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage.write(keyed.join(several.hint("merge"), "key"))
+    few = shared.where(F.col("n") <= crowd)
+    pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")).hint("merge"), "key").where("a < b").select("a", "b").distinct()
+    prints = lambda end: nodes.select(F.col("node").alias(end), *(F.col(v).alias(f"{end}{v}") for v in verify))
+    apart = sum((F.bit_count(F.col(f"a{v}").bitwiseXOR(F.col(f"b{v}"))) for v in verify), F.lit(0))
+    edges = stage.write(pairs.join(prints("a").hint("merge"), "a").join(prints("b").hint("merge"), "b").where(apart <= distance).select("a", "b"))
+    left = shared.where(F.col("n") > crowd).select("key", "node", "n")
+    turn = 0
+    while not left.isEmpty():
+        dealt = left.withColumn("part", F.pmod(F.xxhash64("key", "node", F.lit(turn)), F.ceil(F.col("n") / (PART // 2))).cast("int"))
+        rows = dealt.join(nodes.select("node", *verify).hint("merge"), "node")
+        made = rows.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_joined_parts(distance), "key long, a long, b long, n long")
+        made = stage.write(made)
+        edges = edges.unionByName(made.where("b is not null").select("a", "b"))
+        # nodes of groups that had one part only are done
+        heads = made.where(F.col("b").isNull() & (F.col("n") > PART // 2)).select("key", F.col("a").alias("node"))
+        if turn:  # what two rounds did not connect is split by eight more bits of v in each, so that rounds end
+            byte = _block(verify, 8 * (turn - 1) % (64 * WIDE), 8)
+            heads = heads.join(nodes.select("node", byte.alias("x")).hint("merge"), "node").select(F.xxhash64("key", "x").alias("key"), "node")
+        again = heads.join(heads.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").hint("merge"), "key")
+        left, turn = stage.write(again.select("key", "node", "n")), turn + 1
+    return edges.distinct()
+
+
+def _block(words: list[str], at: int, width: int):
+    """The `width` bits from bit `at` on of a fingerprint in words of 64 bits, which goes round."""
+    k, shift = at // 64, at % 64
+    low = F.shiftrightunsigned(words[k % len(words)], shift)
+    if shift:
+        low = low.bitwiseOR(F.shiftleft(words[(k + 1) % len(words)], 64 - shift))
+    return low if width == 64 else low.bitwiseAND((1 << width) - 1)
+
+
+def _joined_parts(distance: int):
+    """Edges that connect each part of the rows (key, part, node, n, v0..), which come sorted, and a row without b for one node of each component."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        names = [f"v{k}" for k in range(WIDE)]
+
+        def solve(key, n, nodes, prints):
+            order = np.argsort(nodes)
+            nodes, prints = nodes[order], prints[order]
+            root, a, b = np.full(len(nodes), -1), [], []
+            for i in range(len(nodes)):  # breadth first from each node that is not reached yet
+                if root[i] >= 0:
+                    continue
+                root[i] = i
+                todo = [i]
+                while todo:
+                    at = todo.pop()
+                    open_ = np.flatnonzero(root < 0)
+                    near = open_[np.bitwise_count(prints[open_] ^ prints[at]).sum(axis=1) <= distance]
+                    root[near] = i
+                    todo += near.tolist()
+                    a += [nodes[at]] * len(near)
+                    b += nodes[near].tolist()
+            heads = nodes[np.flatnonzero(root == np.arange(len(nodes)))].tolist()
+            size = len(a) + len(heads)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([key] * size, pa.int64()), pa.array([int(x) for x in a] + heads, pa.int64()), pa.array(b + [None] * len(heads), pa.int64()), pa.array([n] * size, pa.int64())], names=["key", "a", "b", "n"]
+            )
+
+        held, own = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, part = batch.column("key").to_numpy(), batch.column("part").to_numpy()
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(key)]
+            for x, z in zip(cuts, cuts[1:]):
+                if own is not None and own[:2] != (key[x], part[x]):
+                    yield solve(int(own[0]), own[2], np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+                    held = []
+                own = key[x], part[x], batch.column("n")[x].as_py()
+                piece = batch.slice(x, z - x)
+                held.append((piece.column("node").to_numpy(), np.stack([piece.column(v).to_numpy().view("uint64") for v in names], axis=1)))
+        if own is not None:
+            yield solve(int(own[0]), own[2], np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+        release()
+
+    return run
+
+
+def shingle_sets(texts: list[bytes], width: int) -> list:
+    """The distinct 32-bit hashes of each text's shingles of `width` words, sorted; fewer words are one shingle, none give none."""
+    import numpy as np
+
+    out = []
+    for text in texts:
+        words = word_hashes(text.lower())[0]
+        n = min(len(words), max(1, len(words) - width + 1))
+        h = np.zeros(n, "uint64")
+        for j in range(min(width, len(words))):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + words[j : j + n]
+        out.append(np.unique((mixed(h) >> np.uint64(32)).astype("uint32")).view("int32"))
+    return out
+
+
+def verified(edges: DataFrame, nodes: DataFrame, df: DataFrame, stage: Stage, width: int, similarity: float) -> DataFrame:
+    """The `edges` (a, b) whose texts' sets of shingles have the Jaccard `similarity` at least.
+
+    A node's text is that of its row with the least doc_id; nodes whose rows all lack one keep their edges. Only nodes with an edge have their
+    text read, and only hashes of shingles travel further.
+    """
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "least", "th"), "node").where("least is not null")
+
+    def run(batches):
+        import pyarrow as pa
+
+        last = None
+        for whole in batches:
+            for at in range(0, whole.num_rows, 128):
+                b = whole.slice(at, 128)
+                own = b.column("node").to_pylist()
+                fresh = [i for i, x in enumerate(own) if x != (own[i - 1] if i else last)]  # repeated rows follow each other
+                last = own[-1]
+                sets = shingle_sets(as_bytes(b.column("text").take(pa.array(fresh, pa.int64()))), width)
+                yield pa.RecordBatch.from_arrays([pa.array([own[i] for i in fresh], pa.int64()), pa.array(sets, pa.list_(pa.int32()))], names=["node", "s"])
+        release()
+
+    texts = df.select(F.col("doc_id").cast("long").alias("least"), F.xxhash64("text").alias("th"), "text").join(ends.hint("merge"), ["least", "th"]).select("node", "text")
+    sets = stage.write(texts.mapInArrow(run, "node long, s array<int>"))
+    own = lambda end: sets.select(F.col("node").alias(end), F.col("s").alias(f"s{end}")).hint("merge")
+    met = edges.join(own("a"), "a", "left").join(own("b"), "b", "left")
+    both = F.size(F.array_intersect("sa", "sb"))
+    alike = both >= similarity * (F.size("sa") + F.size("sb") - both)
+    return met.where(F.col("sa").isNull() | F.col("sb").isNull() | alike).select("a", "b").distinct()
 
 
 def bits_apart(similarity: float) -> int:
-    """Differing bits of `WIDE` words of fingerprint to expect at a Jaccard similarity of the shingles, and one standard deviation."""
+    """Differing bits of `WIDE` words of fingerprint to expect at a Jaccard similarity of the shingles, and two standard deviations."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(64 * WIDE * share + math.sqrt(64 * WIDE * share * (1 - share)))
+    return round(64 * WIDE * share + 2 * math.sqrt(64 * WIDE * share * (1 - share)))
 
 
 def one_of_each(df: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of `df` that stay when of each group of near duplicates only the document with the smallest doc_id does.
 
-    Near duplicates are linked where `WIDE` x 64 majority bits of their shingles of `width` words differ in no more bits than `bits_apart` expects
-    at the Jaccard `similarity`; a group is what links connect. Candidates share 16 bits of such a fingerprint of word pairs, which an
-    edit changes less. Null and empty texts are copies of each other. Rows without doc_id stay only where no row of their group has
+    Near duplicates are linked where their sets of shingles of `width` words have the Jaccard `similarity` at least; a group is what links
+    connect. Candidates share a block of a fingerprint of word pairs, which an edit changes less, and have fingerprints of the shingles that differ in no more bits
+    than `bits_apart` expects. Null and empty texts are copies of each other. Rows without doc_id stay only where no row of their group has
     one, and then one does. Of rows that repeat a doc_id and a text one stays. All columns are kept, whatever their names.
     """
     stage = Stage(df.sparkSession, "neardup")
     thin = stage.write(_thin(df.select("doc_id", "text"), width))
-    nodes = stage.write(thin.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in thin.columns if c not in ("node", "doc_id"))))
-    found = components(near_links(nodes, stage, bits_apart(similarity)), stage)
+    named = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("l")
+    nodes = thin.groupBy("node").agg(named, *(F.first(c).alias(c) for c in thin.columns if c not in ("node", "doc_id", "th")))
+    nodes = stage.write(nodes.select("node", F.col("l.doc_id").alias("least"), F.col("l.th").alias("th"), *(c for c in nodes.columns if c not in ("node", "l"))))
+    edges = stage.write(near_links(nodes, stage, bits_apart(similarity)))
+    found = components(verified(edges, nodes, df, stage, width, similarity), stage)
     rooted = nodes.select("node", "least").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("id"), F.min("node").alias("one"))
     stay = rooted.join(ids, "root").where(F.col("least").eqNullSafe(F.col("id")) & (F.col("id").isNotNull() | (F.col("node") == F.col("one"))))
@@ -223,7 +347,8 @@ def one_of_each(df: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
     keep = stage.write(thin.join(stay.select("node", "id"), "node").where("doc_id <=> id").groupBy("doc_id", "node").agg(F.count("*").alias("n")))
     again = keep.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1 or doc_id is null")
     if again.isEmpty():
-        return df.join(keep.select(F.col("doc_id").alias(kept_id)), df["doc_id"] == F.col(kept_id), "left_semi")
+        # the ids grow with the documents: one plan at every size
+        return df.join(keep.select(F.col("doc_id").alias(kept_id)).hint("merge"), df["doc_id"] == F.col(kept_id), "left_semi")
     # Rows that repeat an id: their texts decide, by hashes that the thin rows had not kept.
     h1, h2 = name("h1"), name("h2")
     texts = _with_node(df.select("doc_id", "text"), width).join(keep.select(F.col("doc_id").alias(kept_id), F.col("node").alias(kept_node)), F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col("node") == F.col(kept_node)), "left_semi")

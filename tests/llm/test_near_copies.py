@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from ribolith.llm import simhash
 
 
@@ -14,7 +16,10 @@ def jaccard(a, b):
     return len(x & y) / len(x | y)
 
 
-def test_near_copies_go_and_others_stay(spark):
+@pytest.mark.parametrize("part", [2048, 32])
+def test_near_copies_go_and_others_stay(spark, monkeypatch, part):
+    """Also with groups that are dealt into many parts."""
+    monkeypatch.setattr(simhash, "PART", part)
     rng, rows, near = random.Random(3), [], {}
     for i in range(150):
         n = rng.choice([60, 100, 300, 1000])
@@ -24,6 +29,11 @@ def test_near_copies_go_and_others_stay(spark):
             b[rng.randrange(n)] = f"edit{i}x{k}"
         rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
         near[2 * i + 1] = jaccard(a, b)
+    for i in range(120, 150):  # far copies: over half of the shingles change
+        a = rows[2 * i][1].split()
+        b = [w if k % 9 else f"far{i}x{k}" for k, w in enumerate(a)]
+        rows[2 * i + 1] = (2 * i + 1, " ".join(b))
+        near[2 * i + 1] = jaccard(a, b)
     base = words(rng, 200)
     rows += [(5000 + i, " ".join(w if p != i % 200 else f"q{i}" for p, w in enumerate(base))) for i in range(300)]  # a large group
     clean = [(10_000 + i, " ".join(words(rng, 60 + i % 50))) for i in range(500)]
@@ -31,6 +41,7 @@ def test_near_copies_go_and_others_stay(spark):
     alike = [d for d, s in near.items() if s >= 0.8]
     assert sum(d not in kept for d in alike) >= 0.9 * len(alike) and len(alike) > 80
     assert all(d not in kept for d, s in near.items() if s >= 0.9)
+    assert all(d in kept for d, s in near.items() if s < 0.8) and sum(s < 0.7 for s in near.values()) >= 30
     assert {d for d, _ in clean} <= kept and {2 * i for i in range(150)} <= kept
     assert [d for d in kept if 5000 <= d < 6000] == [5000]
 
@@ -51,3 +62,24 @@ def test_wide_fingerprints_equal_a_plain_count():
     assert (made[0] == 0).all() and (made[1] == 0).all() and (made[4] == made[5]).all() and len({x.tobytes() for x in made}) == 5
     alone = np.concatenate([simhash.wide_fingerprints([t], 5) for t in texts])
     assert (alone == made).all()
+
+
+def test_unlike_nodes_of_one_block_end(spark, monkeypatch):
+    """Nodes that share every block and are all unlike: rounds end and give no edges."""
+    monkeypatch.setattr(simhash, "PART", 8)
+    rng = random.Random(2)
+    word = lambda: rng.getrandbits(64) - (1 << 63)
+    rows = [(i, *(word() for _ in range(4)), 1, 2, 3, 4) for i in range(60)]
+    nodes = spark.createDataFrame(rows, "node long, " + ", ".join(f"{n} long" for n in ("v0", "v1", "v2", "v3", "b0", "b1", "b2", "b3")))
+    assert simhash.near_links(nodes, simhash.Stage(spark, "unlike"), 50).count() == 0
+
+
+def test_blocks_are_the_bits_of_the_fingerprint(spark):
+    rng = random.Random(4)
+    rows = [tuple(rng.getrandbits(64) - (1 << 63) for _ in range(4)) for _ in range(20)]
+    df = spark.createDataFrame(rows, "b0 long, b1 long, b2 long, b3 long")
+    names = [f"b{k}" for k in range(4)]
+    for at, width in ((0, 17), (60, 24), (250, 30), (128, 64), (100, 64)):
+        got = [r["x"] % (1 << 64) for r in df.select(simhash._block(names, at, width).alias("x")).collect()]
+        whole = [sum((x % (1 << 64)) << (64 * k) for k, x in enumerate(r)) for r in rows]
+        assert got == [((w >> at) | (w << (256 - at))) % (1 << width) for w in whole]
