@@ -12,11 +12,13 @@ from ribolith.operators import haplotypes as H
 from ribolith.operators import intervals as J
 from ribolith.operators import metagene as M
 from ribolith.operators import orfcalls as O
+from ribolith.operators import proteinlists as L
 from ribolith.operators import proteoforms as P
 from ribolith.operators import quality as Q
 from ribolith.operators import splitruns as R
 from ribolith.plans.registry import ORACLES, QUERIES, query
 from ribolith.sources import adapters as T
+from ribolith.sources import databases as B
 from ribolith.sources import files as W
 
 #: Variants of coding sequences in their own coordinates: single bases, deletions, insertions and several alternatives.
@@ -333,3 +335,87 @@ def located_peptides(spark, sf_dir):
     proteins = T.protein(spark, sf_dir).withColumnRenamed("doc_id", "protein_id").withColumnRenamed("aa", "seq")
     peptides = proteins.select(F.explode(F.regexp_extract_all("seq", F.lit("([^KR]*[KR]|[^KR]+$)"), F.lit(1))).alias("peptide"))
     return K.locate_peptides(peptides, proteins)
+
+
+#: Protein groups as `;`-lists with numbers side by side, and what is known of the proteins; some proteins are unknown, some contaminants.
+_ITEM = "concat(case when l_suppkey % 41 = 0 then 'CON__' else '' end, 'P', cast(l_partkey as string))"
+_NUMBER = "case when l_suppkey % 19 <> 0 then cast(cast(l_quantity as int) % 4 as string) else 'x' end"
+_KNOWN = (
+    "concat('P', cast(p_partkey as string)) accession", "case p_size % 4 when 0 then 'SwissProt' when 1 then 'Custom+TrEMBL' when 2 then 'Ribo' else 'TrEMBL+SwissProt' end source",
+    "case p_size % 5 when 0 then 'aTIS' when 1 then '5UTR' when 2 then 'CDS' when 3 then '3UTR' else 'ntr' end annotation", "case when p_size % 3 = 0 then concat('snp', cast(p_size as string)) else '' end snp_id",
+    "concat(cast(p_size % 2 as string), '1') bincode", "concat('G', cast(p_partkey % 50 as string)) gene_id", "case when p_size % 6 = 0 then '' else concat('T', cast(p_partkey % 70 as string)) end transcript_id",
+)
+_PLACE = "l_linenumber * 100000000 + l_partkey"
+_GROUPS = f"""items as (select l_orderkey group_id, {_PLACE} place, min({_ITEM}) acc, min({_NUMBER}) n from lineitem group by 1, 2),
+groups_ as (select group_id, string_agg(acc, ';' order by place) proteins, string_agg(n, ';' order by place) counts from items group by 1),
+acc as (select {", ".join(_KNOWN)} from part where p_partkey % 17 <> 0), descr as (select distinct concat('T', cast(p_partkey % 70 as string)) transcript_id, concat('5'' end of ', cast(p_partkey % 70 as string)) description from part where p_partkey % 70 <> 3)"""
+_SOURCES = "array_to_string(list_filter(['SwissProt', 'TrEMBL'], lambda s: list_contains(l, s)) || list_filter(list_sort(l), lambda s: s not in ('SwissProt', 'TrEMBL', '')), '+')"
+
+
+def _groups(spark, sf_dir):
+    items = T.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey group_id", f"{_PLACE} place", f"{_ITEM} acc", f"{_NUMBER} n").groupBy("group_id", "place").agg(F.min("acc").alias("acc"), F.min("n").alias("n"))
+    text = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", c))), lambda x: x[c]), ";")
+    part = T.table(spark, sf_dir, "part")
+    number = F.expr("cast(p_partkey % 70 as string)")
+    described = part.where("p_partkey % 70 <> 3").select(F.concat(F.lit("T"), number).alias("transcript_id"), F.concat(F.lit("5' end of "), number).alias("description")).distinct()
+    return items.groupBy("group_id").agg(text("acc").alias("proteins"), text("n").alias("counts")), part.where("p_partkey % 17 <> 0").selectExpr(*_KNOWN), described
+
+
+@query(f"""with {_GROUPS}, m as (select group_id, unnest(str_split(proteins, ';')) accession, unnest(range(len(str_split(proteins, ';')))) place, unnest(str_split(counts, ';')) n from groups_),
+b as (select group_id, accession, place from (select *, max(try_cast(n as bigint)) over (partition by group_id) top from m) where try_cast(n as bigint) = top),
+k as (select b.*, coalesce(source, '') source, coalesce(annotation, '') annotation, coalesce(snp_id, '') snp_id, coalesce(bincode, '') bincode, coalesce(gene_id, '') gene_id, case when coalesce(acc.transcript_id, '') <> '' then replace(coalesce(description, ''), '''', '') end description
+ from b left join acc using (accession) left join descr on descr.transcript_id = acc.transcript_id),
+g as (select group_id, list_distinct(flatten(list(str_split(source, '+')))) l, string_agg(accession, '|' order by place) max_proteins, string_agg(annotation, '|' order by place) annotations, string_agg(snp_id, '|' order by place) snp_ids,
+ string_agg(bincode, '|' order by place) bincodes, string_agg(gene_id, '|' order by place) gene_ids, coalesce(string_agg(description, '|' order by place), '') descriptions from k group by 1)
+select group_id, {_SOURCES} sources, max_proteins, annotations, snp_ids, bincodes, gene_ids, descriptions from g""")
+def max_protein_table(spark, sf_dir):
+    return L.max_proteins(*_groups(spark, sf_dir))
+
+
+@query(f"""with {_GROUPS}, m as (select group_id, unnest(str_split(proteins, ';')) accession from groups_ where not regexp_matches(proteins, 'CON__')),
+g as (select group_id, list_distinct(flatten(list(str_split(coalesce(source, ''), '+')))) l from m left join acc using (accession) group by 1)
+select {_SOURCES} sources, count(*) n from g group by 1""")
+def list_source_counts(spark, sf_dir):
+    groups, known, _ = _groups(spark, sf_dir)
+    return L.list_sources(groups, "group_id", known)
+
+
+@query("with recursive av as (" + ORACLES["aligned_variants"] + "), " + _PAIRS.removeprefix("with ") + r""", f as (select cast(floor(p.id / 4) as bigint) transcript_id, cast(p.id % 2 as int) structure, 'A|' || p.id accession, case when simple = '' and complex = '' then 'canonical form' else 'form (' || p.id % 12 || ')' end as name, simple, complex, length(replace(b, '-', '')) n, replace(b, '-', '') seq, p.id
+  from pairs p join av on av.id = p.id),
+e as (select transcript_id, structure, arg_min(seq, id) seq, min(id) first_, min(id) + arg_min(n, id) last_ from f group by 1, 2),
+v as (select distinct transcript_id, structure, 0 kind, unnest(str_split(simple, ';')) v from f where simple <> '' union select distinct transcript_id, structure, 1, unnest(str_split(complex, ';')) from f where complex <> ''),
+nv as (select *, row_number() over (partition by transcript_id, structure order by kind, v) number from v),
+vt as (select transcript_id, structure, string_agg('(' || number || ':' || v || ')', '' order by number) filter (kind = 0) s, string_agg('(' || number || ':' || v || ')', '' order by number) filter (kind = 1) c from nv group by 1, 2),
+own as (select distinct accession, 0 kind, unnest(str_split(simple, ';')) v from f where simple <> '' union select distinct accession, 1, unnest(str_split(complex, ';')) from f where complex <> ''),
+fv as (select f.transcript_id, f.structure, f.accession, f.name, list(number order by number) filter (number is not null) l from f left join own using (accession) left join nv on nv.transcript_id = f.transcript_id and nv.structure = f.structure and nv.kind = own.kind and nv.v = own.v group by 1, 2, 3, 4),
+pt as (select transcript_id, structure, string_agg('(' || replace(accession, '|', '\|') || '|' || first_ || '-' || last_ || '|' || array_to_string(coalesce(l, []), ',') || '|' || replace(replace(name, '(', '\('), ')', '\)') || ')', '' order by name <> 'canonical form', len(coalesce(l, [])), coalesce(l[1], 0), accession) t from fv join e using (transcript_id, structure) group by 1, 2)
+select e.transcript_id, e.structure, '>gen:' || e.transcript_id || '-' || e.structure || ' \PName=Gene product of G' || e.transcript_id || ' \GName=G' || e.transcript_id || ' \NcbiTaxId=9606 \TaxName=Homo Sapiens \Length=' || length(seq) || ' ' || coalesce('\VariantSimple=' || s || ' ', '') || coalesce('\VariantComplex=' || c || ' ', '') || ' \Proteoform=' || t header, md5(seq) seq
+from e left join vt using (transcript_id, structure) left join pt using (transcript_id, structure)""")
+def peff_entries(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    known = P.variant_descriptions(pairs).join(pairs.select("id", F.replace("b", F.lit("-"), F.lit("")).alias("seq")), "id")
+    known = known.withColumn("transcript_id", F.floor(F.col("id") / 4)).withColumn("structure", (F.col("id") % 2).cast("int"))
+    name = F.when((F.col("simple") == "") & (F.col("complex") == ""), "canonical form").otherwise(F.concat(F.lit("form ("), (F.col("id") % 12).cast("string"), F.lit(")")))
+    forms = known.select("transcript_id", "structure", F.concat(F.lit("A|"), F.col("id").cast("string")).alias("accession"), name.alias("name"), "simple", "complex")
+    entries = known.groupBy("transcript_id", "structure").agg(F.min_by("seq", "id").alias("seq"), F.min("id").alias("first"))
+    gene = F.concat(F.lit("G"), F.col("transcript_id").cast("string"))
+    entries = entries.select("transcript_id", "structure", "seq", gene.alias("gene"), F.concat(F.lit("Gene product of "), gene).alias("protein"), "first", (F.col("first") + F.length("seq")).alias("last"))
+    return B.peff_entries(entries, forms, 9606, "Homo Sapiens").withColumn("seq", F.md5("seq"))
+
+
+@query("""with v as (select p_partkey transcript, case when p_size % 3 = 0 then p_size || '_A_C_0.5' else '' end snp, case when p_size % 5 = 0 then p_size || '_AC_A_1.0' end indel from part)
+select transcript, transcript || chr(9) || snp || chr(9) || coalesce(indel, '') line from v where snp <> '' or coalesce(indel, '') <> ''""")
+def variant_file(spark, sf_dir):
+    rows = T.table(spark, sf_dir, "part").selectExpr("p_partkey transcript", "case when p_size % 3 = 0 then concat(p_size, '_A_C_0.5') else '' end snp", "case when p_size % 5 = 0 then concat(p_size, '_AC_A_1.0') end indel")
+    return B.variant_lines(rows)
+
+
+@query("select l_suppkey id, cast(min(l_linenumber) as int) local_max, count(*) min_count, round(min(l_discount), 4) r_atis, case when l_suppkey % 2 = 0 then 'canonical' else 'none' end as filter from lineitem group by l_suppkey")
+def analysis_registry(spark, sf_dir):
+    """The registry after each analysis has been added, and those with an odd id again."""
+    rows = T.table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("id")).agg(F.min("l_linenumber").cast("int").alias("local_max"), F.count("*").alias("min_count"), F.round(F.min("l_discount"), 4).alias("r_atis"))
+    rows = rows.withColumn("filter", F.when(F.col("id") % 2 == 0, "canonical").otherwise("none"))
+    path = W.shared_folder(spark, "registry")
+    for part in (rows, rows.where("id % 2 = 1")):
+        B.register(part, path)
+    return B.read_registry(spark, path, kind=rows.schema["id"].dataType)
