@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ribolith.functions.sequence import CODON_AMINO_ACIDS, NEAR_COGNATE, find_orfs
 from ribolith.operators import confirmation as K
 from ribolith.operators import counts as C
+from ribolith.operators import expression as E
 from ribolith.operators import genemodel as G
 from ribolith.operators import haplotypes as H
 from ribolith.operators import intervals as J
@@ -419,3 +420,70 @@ def analysis_registry(spark, sf_dir):
     for part in (rows, rows.where("id % 2 = 1")):
         B.register(part, path)
     return B.read_registry(spark, path, kind=rows.schema["id"].dataType)
+
+
+_READS = "concat('s', cast(l_suppkey % 3 as string)) sample, case when l_linenumber % 2 = 0 then 'genomic' else 'rRNA' end type, cast(case when l_partkey % 5 = 0 then 4 when l_partkey % 5 = 1 then 256 when l_partkey % 5 = 2 then 16 else 0 end as int) flag, case when l_partkey % 7 <> 0 then cast(l_quantity as int) % 4 end nh"
+
+
+@query(f"""with a as (select {_READS} from lineitem), f as (select sample, type, count(*) total, count(*) filter (flag & 4 = 0 and coalesce(nh, 1) <= 1) u, count(*) filter (flag & 4 = 0 and nh > 1) m, count(*) filter (flag & 4 <> 0) unmapped from a where flag & 2304 = 0 group by 1, 2)
+select sample, type, total, case when type = 'genomic' then u end mapped_u, case when type = 'genomic' then m end mapped_m, u + m mapped_t, unmapped, case when type = 'genomic' then round(u / total, 5) end freq_u, case when type = 'genomic' then round(m / total, 5) end freq_m, round((u + m) / total, 5) freq_t from f""")
+def read_statistics(spark, sf_dir):
+    reads = spark.sql(f"select {_READS} from {{t}}", t=T.table(spark, sf_dir, "lineitem"))
+    return E.read_statistics(reads, F.col("type") == "genomic")
+
+
+@query("""with c as (select l_partkey transcript, sum(cast(l_quantity as int) % 3) u, nullif(sum(cast(l_suppkey as int) % 2), 0) a from lineitem group by 1)
+select transcript, cast(u + coalesce(a, 0) as double) total from c where u + coalesce(a, 0) > 0""")
+def expressed_transcripts(spark, sf_dir):
+    rows = T.table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("transcript"))
+    unique = rows.agg(F.sum(F.expr("cast(l_quantity as int) % 3")).alias("UniqueCount"))
+    ambiguous = rows.agg(F.nullif(F.sum(F.expr("cast(l_suppkey as int) % 2")), F.lit(0)).alias("AmbigCount"))
+    return E.expressed_by_both(unique, ambiguous).select("transcript", "total")
+
+
+@query(T.ctes("features") + """, s as (select cast(l_suppkey % 20 as bigint) chr, cast((l_partkey * 37 + l_linenumber * 11) % 100000 as bigint) start, l_tax m, cast(l_quantity as int) c from lineitem)
+select feature_id, round(sum(m), 4) methylated, count(*) sites from s join features f on s.chr = f.chr and start between feature_start and feature_end where c >= 10 group by 1""")
+def covered_methylation(spark, sf_dir):
+    sites = T.table(spark, sf_dir, "lineitem").selectExpr("cast(l_suppkey % 20 as bigint) chr", "cast((l_partkey * 37 + l_linenumber * 11) % 100000 as bigint) site", "l_tax methylated", "cast(l_quantity as int) coverage")
+    hit = J.points_in(E.covered_sites(sites), T.features(spark, sf_dir), "start", "feature_start", "feature_end", keys=("chr",))
+    return hit.groupBy("feature_id").agg(F.round(F.sum("cnt"), 4).alias("methylated"), F.count("*").alias("sites"))
+
+
+_ISOFORMS = "concat('G', cast(p_partkey % 40 as string)) gene, concat('ENST', cast(p_partkey as string)) transcript, case p_size % 7 when 0 then '?' when 1 then '-' else '+' end sign, case when p_size % 3 = 0 then 'Yes' else 'No' end ccds_status, case when p_size % 4 <> 0 then concat('CCDS', cast(p_size as string)) end ccds, 'protein_coding' type, cast(p_size - 1 as bigint) length, p_retailprice fpkm, cast(p_partkey % 13 as bigint) reads"
+
+
+@query(T.ctes("features") + f""", i as (select {_ISOFORMS} from part where p_partkey % 3 <> 0), t as (select 'ENST' || feature_id transcript, feature_id transcript_id, chr, feature_start start, feature_end "end" from features where feature_id % 11 <> 0),
+g as (select 'G' || feature_id % 40 gene, min(feature_id) canonical from features where feature_id % 40 <> 7 group by 1)
+select transcript_id, transcript, chr, case when sign = '+' then 1 else -1 end strand, start, "end", reads, round(reads / nullif(length, 0), 6) normalized, type biotype, 'NA' exon_coverage, case when canonical = transcript_id then 'Yes' else 'No' end canonical,
+ case when ccds_status = 'Yes' then coalesce(ccds, 'No') else 'No' end ccds, gene, fpkm from i join t using (transcript) left join g using (gene) where sign in ('+', '-')""")
+def ingested_isoforms(spark, sf_dir):
+    isoforms = spark.sql(f"select {_ISOFORMS} from {{t}} where p_partkey % 3 <> 0", t=T.table(spark, sf_dir, "part"))
+    features = T.features(spark, sf_dir)
+    transcripts = features.where("feature_id % 11 <> 0").selectExpr("concat('ENST', cast(feature_id as string)) transcript", "feature_id transcript_id", "chr", "feature_start start", "feature_end `end`")
+    genes = features.where("feature_id % 40 <> 7").groupBy(F.expr("concat('G', cast(feature_id % 40 as string))").alias("gene")).agg(F.min("feature_id").alias("canonical"))
+    return E.ingest_isoforms(isoforms, transcripts, genes)
+
+
+@query(T.ctes("psite", "features", "exons") + """, size_ as (select p_partkey id, p_size s from part), g as (select feature_id gene_id, chr, feature_start a, feature_end z from features join size_ on id = feature_id where s % 5 <> 0),
+n as (select chr, feature_start a, feature_start + 20 z from features join size_ on id = feature_id where s % 5 = 0), bad as (select distinct gene_id from g join n on g.chr = n.chr and g.a <= n.z and n.a <= g.z),
+e as (select transcript_id gene_id, chr, strand, exon_start, exon_end from exons where transcript_id in (select gene_id from g) and transcript_id not in (select gene_id from bad)),
+r as (select rpf, sum(cnt) n from psite p join e on p.chr = e.chr and p.strand = e.strand and p.start between exon_start and exon_end where rpf between 26 and 34 group by 1)
+select rpf, round(n / sum(n) over (), 6) ref from r""")
+def coding_reference(spark, sf_dir):
+    size = T.table(spark, sf_dir, "part").selectExpr("p_partkey feature_id", "p_size")
+    spans = T.features(spark, sf_dir).join(size, "feature_id")
+    genes = spans.where("p_size % 5 <> 0").selectExpr("feature_id gene_id", "chr", "feature_start gene_start", "feature_end gene_end")
+    noncoding = spans.where("p_size % 5 = 0").selectExpr("feature_id nc_id", "chr", "feature_start gene_start", "feature_start + 20 gene_end")
+    return E.reference_of_coding(T.psite(spark, sf_dir), genes, noncoding, T.exons(spark, sf_dir).withColumnRenamed("transcript_id", "gene_id"))
+
+
+_PSM = "l_orderkey a, l_linenumber b, case when l_suppkey % 9 = 0 then 'broken' else concat('run', cast(l_suppkey as string), '-x-', cast(l_orderkey as string), '-_', substring('AmCDEFGHmK', 1 + l_linenumber % 5, 4), '(ac)K.-', cast(2 + l_linenumber % 3 as string), '-', cast(l_partkey as string)) end dash, concat('run', cast(l_suppkey as string), '-x.', cast(l_orderkey as string), '.', cast(l_linenumber as string)) dot, l_partkey c"
+
+
+@query(f"""with p as (select {_PSM} from lineitem), s as (select *, str_split(dash, '-') d, str_split(dot, '.') o from p)
+select a, b, c, case when len(d) >= 6 then d[1] || '-' || d[2] || '-' || d[3] || '-' || replace(regexp_replace(d[4], '\\(ox\\)|\\(ac\\)|[_.]', '', 'g'), 'm', 'M') || '-' || d[5] end common, o[1] raw_file, o[2] scan from s""")
+def normalized_psms(spark, sf_dir):
+    rows = spark.sql(f"select {_PSM} from {{t}}", t=T.table(spark, sf_dir, "lineitem"))
+    d, o = E.psm_parts("dash", F.col("dash")), E.psm_parts("dot", F.col("dot"))
+    rows = rows.select("a", "b", "c", d.alias("d"), o.alias("o"))
+    return rows.select("a", "b", "c", E.common_id(F.col("d.raw_file"), F.col("d.scan"), F.col("d.sequence"), F.col("d.charge")).alias("common"), "o.raw_file", "o.scan")

@@ -80,3 +80,54 @@ def read_registry(spark: SparkSession, path: str, key: str = "id", kind: T.DataT
 def export_registry(rows: DataFrame, path: str, key: str = "id") -> None:
     """The registry as tab-separated text with a header, by id."""
     rows.repartitionByRange(key).sortWithinPartitions(key).write.option("sep", "\t").option("header", "true").csv(path)
+
+
+def fungal_header(header: Column) -> Column:
+    """A header `transcript | gene | description` as `sp|transcript|gene description`; null for other forms (F32)."""
+    form = r"^>?(CNAG\S*)\W\|\W(CNAG\S*)\W\|\W(.+)$"
+    one = lambda i: F.regexp_extract(header, form, i)
+    return F.when(header.rlike(form), F.concat(F.lit("sp|"), one(1), F.lit("|"), one(2), F.lit(" "), one(3)))
+
+
+def variant_header(header: Column) -> Column:
+    """A header `number |field|field…` as `generic|hspv<number>|fields between spaces`, without empty fields and coordinates `..`; null for other forms (F32)."""
+    form = r"^>?(\S+) \|(.+)$"
+    fields = F.transform(F.split(F.regexp_extract(header, form, 2), r"\|"), lambda x, i: F.when((i == 3) & (F.trim(x) == ".."), "").otherwise(F.trim(x)))
+    return F.when(header.rlike(form), F.concat(F.lit("generic|hspv"), F.regexp_extract(header, form, 1), F.lit("|"), F.array_join(F.filter(fields, lambda x: x != ""), " ")))
+
+
+#: Tables of a gene model dump with the columns that the joins read, and their place in a line.
+MODEL = {
+    "gene": {"gene_id": 0, "biotype": 1, "seq_region_id": 3, "seq_region_start": 4, "seq_region_end": 5, "seq_region_strand": 6, "canonical_transcript_id": 11, "stable_id": 12},
+    "transcript": {"transcript_id": 0, "gene_id": 1, "seq_region_id": 3, "seq_region_start": 4, "seq_region_end": 5, "seq_region_strand": 6, "biotype": 9, "canonical_translation_id": 12, "stable_id": 13},
+    "exon": {"exon_id": 0, "seq_region_id": 1, "seq_region_start": 2, "seq_region_end": 3, "seq_region_strand": 4, "phase": 5, "end_phase": 6, "stable_id": 9},
+    "exon_transcript": {"exon_id": 0, "transcript_id": 1, "rank": 2},
+    "translation": {"translation_id": 0, "transcript_id": 1, "seq_start": 2, "start_exon_id": 3, "seq_end": 4, "end_exon_id": 5, "stable_id": 6},
+    "seq_region": {"seq_region_id": 0, "name": 1, "coord_system_id": 2, "length": 3},
+    "coord_system": {"coord_system_id": 0, "species_id": 1, "name": 2, "version": 3, "rank": 4},
+    "xref": {"xref_id": 0, "external_db_id": 1, "dbprimary_acc": 2, "display_label": 3, "description": 5},
+    "object_xref": {"object_xref_id": 0, "ensembl_id": 1, "ensembl_object_type": 2, "xref_id": 3},
+}
+_TEXT = ("biotype", "stable_id", "name", "version", "dbprimary_acc", "display_label", "description", "ensembl_object_type")
+
+
+def read_gene_model(spark: SparkSession, folder: str, tables: dict[str, dict[str, int]] | None = None) -> dict[str, DataFrame]:
+    """The tables of a gene model dump by name (S4): `<table>.txt` or `.txt.gz` in `folder`, fields between tabs, \\N for null, no header.
+
+    `tables` gives the columns and their places where a release has them elsewhere. Ids and places are long, others text.
+    """
+    out = {}
+    for name, columns in (tables or MODEL).items():
+        fields = F.split("value", "\t")
+        at = lambda i: F.nullif(F.get(fields, F.lit(i)), F.lit("\\N"))  # noqa: E731, B023
+        rows = spark.read.text(f"{folder}/{name}.txt*").where("length(value) > 0")
+        out[name] = rows.select(*((at(i) if c in _TEXT else at(i).try_cast("long")).alias(c) for c, i in columns.items()))
+    return out
+
+
+def model_exons(model: dict[str, DataFrame], coord_system: str = "chromosome") -> DataFrame:
+    """transcript_id, chr, strand, rank, exon_start, exon_end of all transcripts on the named coordinate system."""
+    places = model["seq_region"].join(model["coord_system"].where(F.col("name") == coord_system).select("coord_system_id"), "coord_system_id", "left_semi")
+    exons = model["exon"].select("exon_id", "seq_region_id", F.col("seq_region_start").alias("exon_start"), F.col("seq_region_end").alias("exon_end"), F.col("seq_region_strand").cast("int").alias("strand"))
+    rows = model["exon_transcript"].join(exons, "exon_id").join(places.select("seq_region_id", F.col("name").alias("chr")), "seq_region_id")
+    return rows.select("transcript_id", "chr", "strand", F.col("rank").cast("int").alias("rank"), "exon_start", "exon_end")
