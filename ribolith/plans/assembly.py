@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ribolith.functions.sequence import CODON_AMINO_ACIDS, NEAR_COGNATE, find_orfs
+from ribolith.functions.sequence import CODON_AMINO_ACIDS, NEAR_COGNATE, alignment_stats, canonical_amino_acids, find_orfs, selenocysteine
+from ribolith.operators import alignments as A
 from ribolith.operators import confirmation as K
 from ribolith.operators import counts as C
 from ribolith.operators import expression as E
 from ribolith.operators import genemodel as G
 from ribolith.operators import haplotypes as H
+from ribolith.operators import identifications as I
 from ribolith.operators import intervals as J
 from ribolith.operators import metagene as M
 from ribolith.operators import orfcalls as O
@@ -17,6 +19,7 @@ from ribolith.operators import proteinlists as L
 from ribolith.operators import proteoforms as P
 from ribolith.operators import quality as Q
 from ribolith.operators import splitruns as R
+from ribolith.operators import variants as V
 from ribolith.plans.registry import ORACLES, QUERIES, query
 from ribolith.sources import adapters as T
 from ribolith.sources import databases as B
@@ -487,3 +490,61 @@ def normalized_psms(spark, sf_dir):
     d, o = E.psm_parts("dash", F.col("dash")), E.psm_parts("dot", F.col("dot"))
     rows = rows.select("a", "b", "c", d.alias("d"), o.alias("o"))
     return rows.select("a", "b", "c", E.common_id(F.col("d.raw_file"), F.col("d.scan"), F.col("d.sequence"), F.col("d.charge")).alias("common"), "o.raw_file", "o.scan")
+
+
+@query(T.ctes("protein") + " select doc_id, md5(aa) aa from (select doc_id, case when doc_id % 6 = 0 then aa || 'U' when doc_id % 6 = 1 then 'x' || aa else aa end aa from protein) where not regexp_matches(aa, '[^RHKDESTNQCGPAVILMFYW]')")
+def canonical_proteins(spark, sf_dir):
+    rows = T.protein(spark, sf_dir).withColumn("aa", F.expr("case when doc_id % 6 = 0 then concat(aa, 'U') when doc_id % 6 = 1 then concat('x', aa) else aa end"))
+    return rows.where(canonical_amino_acids(F.col("aa"))).select("doc_id", F.md5("aa").alias("aa"))
+
+
+@query(T.ctes("variants") + ", m as (select chr, pos, ref, alt || ',' || ref alts from variants) select chr, pos, ref, unnest(str_split(alts, ',')) alt from m")
+def split_alternatives(spark, sf_dir):
+    return V.split_multiallelic(T.variants(spark, sf_dir).select("chr", "pos", "ref", F.concat_ws(",", "alt", "ref").alias("alt")))
+
+
+@query("""with p as (select l_orderkey a, l_linenumber b, l_extendedprice / 10000 score, case when l_discount = 0 then 1e-5 else l_discount / 20 end q from lineitem),
+f as (select regr_slope(log10(q), score) m, regr_intercept(log10(q), score) c from p where q > 1e-4 and q < 1e-2)
+select a, b, round(log10(case when q < 1e-4 then pow(10, m * score + c) else q end), 6) lq from p, f""")
+def extrapolated_q(spark, sf_dir):
+    rows = T.table(spark, sf_dir, "lineitem").selectExpr("l_orderkey a", "l_linenumber b", "l_extendedprice / 10000 score", "case when l_discount = 0 then 1e-5D else l_discount / 20 end q")
+    return I.extrapolate_q(rows).select("a", "b", F.round(F.log10("q_fit"), 6).alias("lq"))
+
+
+@query(T.ctes("alignments") + ", h as (select *, 1 + l_orderkey % nh hi from alignments) select l_orderkey, l_linenumber, nh, hi from h where hi = 1")
+def first_rank_reads(spark, sf_dir):
+    rows = T.alignments(spark, sf_dir).withColumn("hi", 1 + F.col("l_orderkey") % F.col("nh"))
+    return A.filter_reads(rows, first_rank=True).select("l_orderkey", "l_linenumber", "nh", "hi")
+
+
+@query(_PAIRS + """, z as (select id, list_transform(list_zip(str_split(a, ''), str_split(b, '')), lambda c: [c[1], c[2]]) l, shape from shapes),
+s as (select id, length(regexp_replace(shape, '[^=]', '', 'g')) same, length(regexp_replace(shape, '[^=x]', '', 'g')) solid, length(shape) n, list_max(list_transform(regexp_extract_all(shape, '=+'), lambda r: length(r))) longest from z)
+select id, round(same / nullif(solid, 0), 6) identity, solid = n substitutions_only, cast(coalesce(longest, 0) as int) longest from s""")
+def pair_statistics(spark, sf_dir):
+    rows = _pairs(spark, sf_dir).select("id", alignment_stats(F.col("a"), F.col("b")).alias("s"))
+    return rows.select("id", F.round("s.identity", 6).alias("identity"), "s.substitutions_only", "s.longest")
+
+
+@query(T.ctes("dna") + f""", {_CODE}, s as (select doc_id, seq, 1 + doc_id % 40 site from dna where length(seq) >= 6), c as (select doc_id, site, unnest(range(length(seq) // 3)) i, seq from s),
+w as (select doc_id, any_value(site) site, string_agg(coalesce(aa, 'X'), '' order by i) aa from c left join code on codon = substring(seq, cast(3 * i + 1 as int), 3) group by 1)
+select doc_id, md5(substring(aa, 1, cast(site - 1 as int))) stopped, md5(str_split(substring(aa, 1, cast(site - 1 as int)) || 'U' || substring(aa, cast(site + 1 as int)), '*')[1]) read_through from w""")
+def selenocysteines(spark, sf_dir):
+    rows = T.dna(spark, sf_dir).where("length(seq) >= 6").withColumn("site", (1 + F.col("doc_id") % 40).cast("int"))
+    both = rows.select("doc_id", selenocysteine(F.col("seq"), F.col("site")).alias("p"))
+    return both.select("doc_id", F.md5(F.col("p")[0]).alias("stopped"), F.md5(F.col("p")[1]).alias("read_through"))
+
+
+_HEADER = "concat('T', cast(p_partkey as string), '_', cast(p_size % 22 as string), '_', cast(p_partkey * 7 as string), '_', case when p_size % 2 = 0 then 'aTIS' else '5UTR' end, case when p_size % 3 = 0 then concat('_snp', cast(p_size as string)) else '' end, case when p_size % 5 = 0 then '_101db2' else '' end)"
+
+
+@query(f"""with h as (select {_HEADER} description, p_partkey, p_size from part) select description, 'T' || p_partkey transcript, cast(p_size % 22 as varchar) chr, cast(p_partkey * 7 as bigint) start, case when p_size % 2 = 0 then 'aTIS' else '5UTR' end annotation,
+case when p_size % 3 = 0 then 'snp' || p_size end snp_id, case when p_size % 5 = 0 then '101db2' end bincode from h""")
+def parsed_headers(spark, sf_dir):
+    return W.parse_headers(T.table(spark, sf_dir, "part").selectExpr(f"{_HEADER} description"))
+
+
+@query("""select concat('CNAG_', p_partkey, ' | CNAG_', p_size, ' | ', p_name) h1, 'sp|CNAG_' || p_partkey || '|CNAG_' || p_size || ' ' || p_name fungal, p_partkey || ' |a' || p_size || '| b |' || '|..|' || p_size || '||x' h2,
+'generic|hspv' || p_partkey || '|a' || p_size || ' b ' || p_size || ' x' variant from part""")
+def database_headers(spark, sf_dir):
+    rows = T.table(spark, sf_dir, "part").selectExpr("concat('CNAG_', p_partkey, ' | CNAG_', p_size, ' | ', p_name) h1", "concat(p_partkey, ' |a', p_size, '| b ||..|', p_size, '||x') h2")
+    return rows.select("h1", B.fungal_header(F.col("h1")).alias("fungal"), "h2", B.variant_header(F.col("h2")).alias("variant"))

@@ -127,6 +127,6 @@ def split_parts(df: DataFrame, parts: int, key: str) -> DataFrame:
 
 
 def parse_headers(df: DataFrame, column: str = "description") -> DataFrame:
-    """Fields of combined headers transcript_chr_start_annotation[_snp]_bincode[main]: as columns."""
+    """Fields of combined headers transcript_chr_start_annotation[_snp][_bincode] as columns (S13); other texts have no start and empty fields."""
     one = lambda i: F.regexp_extract(column, r"^([^_\s]+)_([^_\s]+)_(\d+)_([^_\s]+?)(?:_(snp\d+))?(?:_(\d+db\d+))?$", i)
-    return df.select("*", one(1).alias("transcript"), one(2).alias("chr"), one(3).cast("long").alias("start"), one(4).alias("annotation"), F.nullif(one(5), F.lit("")).alias("snp_id"), F.nullif(one(6), F.lit("")).alias("bincode"))
+    return df.select("*", one(1).alias("transcript"), one(2).alias("chr"), one(3).try_cast("long").alias("start"), one(4).alias("annotation"), F.nullif(one(5), F.lit("")).alias("snp_id"), F.nullif(one(6), F.lit("")).alias("bincode"))
