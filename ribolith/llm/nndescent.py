@@ -6,8 +6,8 @@ brought together with their vectors (a join), compared pairwise, and each pair t
 its ends is proposed to that end; a window keeps the best. Rounds end when few neighbours change.
 
 A query starts at its own node. In each round the best nodes of its beam that are not expanded yet are joined with their
-neighbours in either direction, and the beam keeps the best. The final scores are cosines of the original vectors in double
-precision.
+neighbours in either direction, and the beam keeps the best, until all of it is expanded. The whole beam is then scored by cosines of
+the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from ribolith.llm.common import Stage
 from ribolith.llm.vectors import matrix, one_each, usable
 
-#: Neighbours of a node; groups of the start and their largest size; most rounds, and the share of changes that ends them.
-NEIGHBOURS, STARTS, GROUP, ROUNDS, ENOUGH = 36, 4, 60, 7, 0.01
-#: Least beam of a query (it grows with the square root of the nodes), share of it that a round expands, and most rounds.
-BEAM, EXPAND, STEPS = 100, 4, 6
+#: Neighbours of a node; groups of the start and their size; the share of changes that ends the rounds.
+NEIGHBOURS, STARTS, GROUP, ENOUGH = 36, 4, 60, 0.01
+#: Least beam of a query (it grows with the square root of the nodes), and the part of it that a round expands.
+BEAM, EXPAND = 100, 4
 #: Lists that are compared at once in a task.
 SLICE = 64
 
@@ -33,7 +33,7 @@ def _top(rows: DataFrame, key: str, by: list, n: int) -> DataFrame:
 
 
 def make_nodes(df: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
-    """Nodes (node, embedding, vec: unit vector in half precision) and members (node, vec_id, n-th smallest at most)."""
+    """Nodes (node, embedding, vec: unit vector in single precision) and members (node, vec_id, n-th smallest at most)."""
     rows = one_each(usable(df)).where(F.exists("embedding", lambda x: x != 0))
     # Ids of a very common vector are cut down in salted parts before they meet.
     part = Window.partitionBy("embedding", F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy("vec_id")
@@ -49,11 +49,11 @@ def make_nodes(df: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
         for b in batches:
             m = matrix(b.column("embedding"))
             m = m / np.maximum(np.abs(m).max(axis=1, keepdims=True), 1e-300)
-            m = (m / np.linalg.norm(m, axis=1, keepdims=True)).astype("float16")
+            m = (m / np.linalg.norm(m, axis=1, keepdims=True)).astype("float32")
             signs = []
             for s in range(STARTS):
                 planes = np.random.default_rng([17, s]).normal(size=(m.shape[1], 20))
-                signs.append(((m.astype("float32") @ planes > 0) << np.arange(20)).sum(axis=1))
+                signs.append(((m @ planes > 0) << np.arange(20)).sum(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), b.column("embedding"), pa.array([x.tobytes() for x in m], pa.binary()), pa.array(np.stack(signs, 1).tolist(), pa.list_(pa.int64()))],
                 names=["node", "embedding", "vec", "signs"],
@@ -77,7 +77,7 @@ def compare(lists: DataFrame) -> DataFrame:
                 flat = column.flatten()
                 ids, fresh = flat.field("id").to_numpy(), flat.field("fresh").to_numpy(zero_copy_only=False)
                 worst = flat.field("worst").to_numpy()
-                vec = np.frombuffer(b"".join(flat.field("vec").to_pylist()), "float16").astype("float32").reshape(len(ids), -1)
+                vec = np.frombuffer(b"".join(flat.field("vec").to_pylist()), "float32").reshape(len(ids), -1)
                 a, b, sims, start = [], [], [], 0
                 for n in column.value_lengths().to_pylist():
                     s = slice(start, start + n)
@@ -107,9 +107,9 @@ def build_graph(nodes: DataFrame, stage: Stage, neighbours: int = NEIGHBOURS) ->
     bits = max(0, min(20, math.floor(math.log2(max(1, nodes.count()) / GROUP * 1.5))) if nodes.count() > GROUP else 0)
     keyed = nodes.select("node", "vec", F.posexplode("signs").alias("s", "sign"))
     keyed = keyed.withColumn("sign", F.col("sign").bitwiseAND((1 << bits) - 1))
-    place = F.row_number().over(Window.partitionBy("s", "sign").orderBy("node")) - 1
-    size = F.count("*").over(Window.partitionBy("s", "sign"))
-    keyed = keyed.withColumn("g", F.floor(place / F.ceil(size / F.ceil(size / GROUP))))
+    # nodes of one sign are dealt into groups by a hash, so that a sign that very many share is not gathered
+    size = keyed.groupBy("s", "sign").agg(F.count("*").alias("size"))
+    keyed = keyed.join(size, ["s", "sign"]).withColumn("g", F.pmod(F.xxhash64("node", "s"), F.ceil(F.col("size") / GROUP)))
     item = F.struct(F.col("node").alias("id"), "vec", F.lit(-2.0).cast("float").alias("worst"), F.lit(True).alias("fresh"))
     lists = keyed.groupBy("s", "sign", "g").agg(F.collect_list(item).alias("items")).select("items")
     graph = stage.write(_top(compare(lists).distinct(), "a", best, neighbours).withColumn("fresh", F.lit(True)))
@@ -117,7 +117,7 @@ def build_graph(nodes: DataFrame, stage: Stage, neighbours: int = NEIGHBOURS) ->
         F.col("a").alias("node"), F.when(F.col("n") >= neighbours, F.col("w")).otherwise(-2.0).cast("float").alias("worst")
     )
     total = graph.count()
-    for _ in range(ROUNDS):
+    while True:
         back = _top(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim", "fresh"), "a", best, neighbours)
         around = graph.select("a", "b", "fresh").unionByName(back.select("a", "b", "fresh"))
         around = around.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
@@ -143,7 +143,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, stage: Stage)
     vectors = nodes.select("node", "vec")
     wanted = stage.write(queries.join(vectors.withColumnRenamed("node", "q"), "q").select("q", F.col("vec").alias("qvec")))
     state = stage.write(wanted.select("q", F.col("q").alias("b"), F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("done")))
-    for _ in range(STEPS):
+    while True:
         todo = _top(state.where("not done"), "q", [F.desc("sim"), "b"], beam // EXPAND).select("q", F.col("b").alias("at"))
         reached = todo.join(edges.withColumnRenamed("a", "at"), "at").select("q", "b").distinct()
         new = reached.join(state.select("q", "b"), ["q", "b"], "left_anti")
@@ -165,7 +165,7 @@ def _similar(pairs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "float16").astype("float32").reshape(b.num_rows, -1) for c in ("qvec", "vec"))
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "float32").reshape(b.num_rows, -1) for c in ("qvec", "vec"))
             yield pa.RecordBatch.from_arrays([b.column("q"), b.column("b"), pa.array(np.einsum("ij,ij->i", x, y).astype("float32"))], names=["q", "b", "sim"])
 
     return pairs.mapInArrow(run, "q long, b long, sim float")
@@ -187,9 +187,8 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     )
     wanted = stage.write(wanted)
     found = search(wanted.select("q").distinct(), nodes, graph, stage)
-    some = _top(found, "q", [F.desc("sim"), "b"], 4 * k)
     exact = nodes.select("node", "embedding")
-    pairs = some.join(exact.withColumnRenamed("node", "q").withColumnRenamed("embedding", "x"), "q")
+    pairs = found.select("q", "b").join(exact.withColumnRenamed("node", "q").withColumnRenamed("embedding", "x"), "q")
     pairs = pairs.join(exact.withColumnRenamed("node", "b").withColumnRenamed("embedding", "y"), "b")
     scored = cosines(pairs.select("q", "b", "x", "y"))
     rows = wanted.join(scored, "q").join(members.withColumnRenamed("node", "b"), "b").where("vec_id <> query_id")

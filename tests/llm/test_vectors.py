@@ -69,6 +69,24 @@ def test_nn_descent_recall(spark):
     assert len(got & want) >= 0.95 * len(want)
 
 
+def test_nn_descent_in_a_tight_cluster(spark):
+    """A third of the vectors stand within a hundredth of one another."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (1200, 32))
+    x[::3] = rng.normal(0, 1, 32) + rng.normal(0, 0.01, (400, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nndescent.nearest(df, every=10).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = {True: [], False: []}
+    for q in range(0, 1200, 10):
+        s = u @ u[q]
+        s[q] = -2
+        hits[q % 3 == 0].append(len(got[q] & set(np.argsort(-s)[:5].tolist())) / 5)
+    assert np.mean(hits[True]) >= 0.95 and np.mean(hits[False]) >= 0.95
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
