@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges that an order is cut into.
-RANGES = 64
+#: Least number of ranges that an order is cut into (at most eight times as many), rows that a range has at least where there are more, texts of a sample.
+RANGES, ROWS, SAMPLE = 64, 200_000, 20_000
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -41,22 +41,30 @@ def order_statistics(df: DataFrame, columns: list[Column], ranks: list[int], bin
                 left[i] -= r["n"]
 
 
-def _number(df: DataFrame, order: str) -> Column:
-    """A double that grows with the order column; of strings the first six bytes."""
+def _cuts(df: DataFrame, order: str) -> list:
+    """Values that cut the order into ranges of about equal size: quantiles of a number, or of a sample of at most about `SAMPLE` texts.
+
+    The number of ranges follows the number of rows.
+    """
+    known = df.select(order).where(F.col(order).isNotNull())
+    n = known.count()
+    ranges = max(RANGES, min(8 * RANGES, n // ROWS))
     if dict(df.dtypes)[order] != "string":
-        return F.col(order).cast("double")
-    return F.conv(F.rpad(F.hex(F.encode(F.substring(order, 1, 6), "UTF-8")), 12, "0").substr(1, 12), 16, 10).cast("double")
+        return sorted(set(known.select(F.col(order).cast("double").alias("x")).approxQuantile("x", [i / ranges for i in range(1, ranges)], 0.1 / ranges)))
+    some = known.where(F.pmod(F.xxhash64(order), F.lit(1_000_000)) < 1_000_000 * min(1.0, SAMPLE / max(1, n))).distinct().limit(4 * SAMPLE)
+    sample = sorted(r[0].encode() for r in some.collect())
+    return [x.decode() for x in sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)})] if sample else []
 
 
 def running(df: DataFrame, order: str, values: dict[str, Column], ascending: bool = True) -> DataFrame:
     """`df` with, for each name in `values`, the sum of its column over all rows before, in the order of the column `order`.
 
-    The order is cut into ranges at quantiles; a range depends on a row's own value alone, so that every reading of the input gives the
+    The order is cut into ranges at quantiles, of texts at sampled whole values; a range depends on a row's own value alone, so that every reading of the input gives the
     same. Windows run inside a range, and the ranges' totals, a row for each, are added up and broadcast. Rows that share a value
     share a range: give one row for each value where values repeat often. Null orders come first.
     """
-    plain = df.withColumn("__x", _number(df, order))
-    cuts = sorted(set(plain.approxQuantile("__x", [i / RANGES for i in range(1, RANGES)], 0.002)))
+    cuts = _cuts(df, order)
+    plain = df.withColumn("__x", F.col(order) if dict(df.dtypes)[order] == "string" else F.col(order).cast("double"))
     ranged = plain.withColumn("__range", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("__x"))) if cuts else F.lit(0))
     ranged = ranged.withColumn("__range", F.coalesce(F.when(F.col("__x").isNotNull(), F.col("__range")), F.lit(-1)))
     way = F.asc if ascending else F.desc

@@ -6,7 +6,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from ribolith.operators import genemodel, quality
+from ribolith.operators import genemodel, quality, ranges
 from ribolith.operators.ranges import running
 from ribolith.sources.files import read_alignments, split_parts
 
@@ -25,6 +25,18 @@ def test_running_sums(spark):
     assert [r["s"] for r in running(names, "x", {"s": F.col("v")}).orderBy("x").collect()] == list(range(500))
 
 
+def test_texts_with_a_long_common_start_make_many_ranges(spark):
+    rows = spark.range(20_000).select(F.format_string("ENST%020d", (F.col("id") * 7_919) % 20_000).alias("x"), F.lit(1).alias("v"))
+    cuts = ranges._cuts(rows, "x")
+    assert len(cuts) == ranges.RANGES - 1
+    at = [sum(c < f"ENST{i:020d}" for c in cuts) for i in range(0, 20_000, 7)]
+    assert max(map(at.count, set(at))) < 5 * len(at) / ranges.RANGES
+    got = [(r["x"], r["s"]) for r in running(rows, "x", {"s": F.col("v")}).where("s % 997 = 0").collect()]
+    assert got and all(x == f"ENST{s:020d}" for x, s in got)
+    odd = spark.createDataFrame([("",), ("é",), (None,), ("a",), ("ab",), ("Z",)], "x string")
+    assert [r["x"] for r in running(odd, "x", {"s": F.lit(1)}).orderBy("s").collect()] == [None, "", "Z", "a", "ab", "é"]
+
+
 def test_parts_of_many_wide_rows(spark):
     df = spark.range(600_000).select(((F.col("id") * 7_919) % 600_000).alias("key"), F.repeat(F.lit("x"), 192).alias("wide")).repartition(16)
     got = split_parts(df, 5, "key").groupBy("part").agg(F.count("*"), F.min("key"), F.max("key")).orderBy("part").collect()
