@@ -35,17 +35,24 @@ def leading_proteins(psms: DataFrame) -> DataFrame:
 
 
 def without_subsets(df: DataFrame, group: str = "protein_id", item: str = "peptide") -> DataFrame:
-    """Groups whose item set is not inside another's; of equal sets the smallest group stays."""
+    """Groups whose item set is not inside another's; of equal sets the smallest group stays.
+
+    Equal sets, told by their size and two sums of hashes of 64 bits, are one group from the start. Sets of one item go where a larger
+    one holds it. Of the others each meets the groups that hold its rarest item, as a set that holds another holds that item too.
+    """
     pairs = df.select(group, item).distinct()
-    size = pairs.groupBy(group).agg(F.count("*").alias("n"))
-    # A set that holds another holds its rarest item too: only that one proposes pairs, so common items pair nobody.
-    common = pairs.groupBy(item).agg(F.count("*").alias("m"))
-    rarest = pairs.join(common, item).groupBy(group).agg(F.min_by(F.struct(item), F.struct("m", item)).alias("r")).select(F.col(group).alias("a"), f"r.{item}")
-    meant = rarest.join(pairs.withColumnRenamed(group, "b"), item).where("a <> b").select("a", "b")
-    a, b = pairs.withColumnRenamed(group, "a"), pairs.withColumnRenamed(group, "b")
-    shared = meant.join(a, "a").join(b, ["b", item]).groupBy("a", "b").agg(F.count("*").alias("both"))
-    shared = shared.join(size.select(F.col(group).alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col(group).alias("b"), F.col("n").alias("nb")), "b")
-    lost = shared.where("both = na and (nb > na or b < a)").select(F.col("a").alias(group)).distinct()
+    total = lambda *seed: F.sum(F.xxhash64(*seed, item).cast("decimal(38,0)"))
+    sets = pairs.groupBy(group).agg(F.count("*").alias("n"), total().alias("h1"), total(F.lit(7)).alias("h2"))
+    size = sets.groupBy("n", "h1", "h2").agg(F.min(group).alias(group)).select(group, "n")
+    pairs = pairs.join(size, group)
+    several = pairs.where("n > 1").select(group, item, "n")
+    inside = pairs.where("n = 1").join(several.select(item).distinct(), item, "left_semi").select(group)
+    common = several.groupBy(item).agg(F.count("*").alias("m"))
+    rarest = several.join(common, item).groupBy(group).agg(F.min_by(F.struct(item, "n"), F.struct("m", item)).alias("r")).select(F.col(group).alias("a"), F.col("r.n").alias("na"), f"r.{item}")
+    meant = rarest.join(several.select(F.col(group).alias("b"), item, F.col("n").alias("nb")), item).where("a <> b and na < nb").select("a", "b", "na")
+    a, b = several.select(F.col(group).alias("a"), item), several.select(F.col(group).alias("b"), item)
+    shared = meant.join(a, "a").join(b, ["b", item]).groupBy("a", "b", "na").agg(F.count("*").alias("both"))
+    lost = shared.where("both = na").select(F.col("a").alias(group)).unionByName(inside).distinct()
     return size.join(lost, group, "left_anti")
 
 

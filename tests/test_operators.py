@@ -101,3 +101,19 @@ def test_start_sites(spark):
     cds = spark.createDataFrame([(1, 3, 15), (2, 3, 15), (3, 3, 15)], "transcript_id long, cds_start int, cds_end int")
     got = {(r["transcript_id"], r["cdna"]): (r["annotation"], r["codon"], r["peak_shift"], r["cnt"], r["atis_call"]) for r in P.call_starts(hits, sequences, cds, {k: (5, -999.0) for k in P.THRESHOLDS}).collect()}
     assert got == {(1, 3): ("aTIS", "ATG", "+1 0", 10, "True"), (1, 12): ("CDS", "CTG", "0", 9, "NA"), (2, 3): ("aTIS", "ATG", None, None, "no_data")}
+
+
+def test_groups_without_subsets(spark):
+    import random
+
+    from ribolith.operators import identifications as I
+
+    rng = random.Random(4)
+    sets = {i: frozenset(rng.sample("abcdefgh", rng.randint(1, 5))) for i in range(60)} | {100 + i: frozenset("z") for i in range(50)} | {200: frozenset("yz"), 300: frozenset("x"), 301: frozenset("x")}
+    df = spark.createDataFrame([(i, x) for i, s in sets.items() for x in s] * 2, "protein_id long, peptide string")
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    want = {(i, len(s)) for s, i in first.items() if not any(s < t for t in first)}
+    assert {(r["protein_id"], r["n"]) for r in I.without_subsets(df).collect()} == want
+    assert I.without_subsets(df.where("false")).count() == 0
