@@ -148,10 +148,10 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, stage: Stage)
         reached = todo.join(edges.withColumnRenamed("a", "at"), "at").select("q", "b").distinct()
         new = reached.join(state.select("q", "b"), ["q", "b"], "left_anti")
         scored = _similar(new.join(wanted, "q").join(vectors.withColumnRenamed("node", "b"), "b").select("q", "b", "qvec", "vec"))
-        hits = todo.select("q", F.col("at").alias("b"), F.lit(True).alias("hit"))
-        seen = state.join(hits, ["q", "b"], "left")
-        seen = seen.select("q", "b", "sim", (F.col("done") | F.coalesce("hit", F.lit(False))).alias("done"))
-        after = stage.write(_top(seen.unionByName(scored.withColumn("done", F.lit(False))), "q", [F.desc("sim"), "b"], beam))
+        hits = todo.select("q", F.col("at").alias("b"), F.lit(None).cast("float").alias("sim"), F.lit(True).alias("done"))
+        seen = state.unionByName(hits).unionByName(scored.withColumn("done", F.lit(False)))
+        seen = seen.groupBy("q", "b").agg(F.max("sim").alias("sim"), F.max("done").alias("done"))
+        after = stage.write(_top(seen, "q", [F.desc("sim"), "b"], beam))
         stage.drop(state)
         state = after
         if state.where("not done").isEmpty():
