@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ribolith.operators.intervals import points_in
+from ribolith.operators.intervals import covers, totals_in
 
 KEY = ["chr", "pos", "ref", "alt"]
 
@@ -33,16 +33,14 @@ def classify(called: DataFrame, known: DataFrame, mismatches: DataFrame) -> Data
 
 def per_transcript(variants: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Distinct variants inside each transcript, zero included."""
-    hit = points_in(variants.select(*KEY).distinct(), transcripts, "pos", "feature_start", "feature_end", keys=("chr",))
-    n = hit.groupBy("feature_id").agg(F.count("*").alias("n"))
+    n = totals_in(variants.select(*KEY).distinct(), transcripts, "pos", "feature_start", "feature_end", {"n": F.lit(1)}, ["feature_id"], keys=("chr",))
     return transcripts.select("feature_id").join(n, "feature_id", "left").select("feature_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def guard(variants: DataFrame, transcripts: DataFrame, most: int = 5) -> DataFrame:
-    """Distinct variants that stand in no transcript with more than `most` of them (A36). One interval join, of keys alone."""
+    """Distinct variants that stand in no transcript with more than `most` of them (A36). Both steps are running sums; no pairs are made."""
     distinct = variants.select(*KEY).distinct()
     spans = transcripts.select("chr", "feature_id", "feature_start", "feature_end")
-    hit = points_in(distinct, spans, "pos", "feature_start", "feature_end", keys=("chr",)).select(*KEY, "feature_id")
-    held = F.count("*").over(Window.partitionBy("feature_id"))
-    inside = hit.withColumn("n", held).where(F.col("n") > most).select(*KEY).distinct()
-    return distinct.join(inside, KEY, "left_anti")
+    n = totals_in(distinct, spans, "pos", "feature_start", "feature_end", {"n": F.lit(1)}, ["feature_id"], keys=("chr",))
+    crowded = spans.join(n.where(F.col("n") > most), "feature_id", "left_semi")
+    return covers(distinct, crowded, "pos", "feature_start", "feature_end", {"held": F.lit(1)}, keys=("chr",)).where("held = 0").select(*KEY)
