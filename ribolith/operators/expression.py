@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ribolith.operators.intervals import overlaps, points_in
+from ribolith.operators.intervals import covers, overlaps, totals_in
 
 #: Bits of a read's flag: unmapped, and lines that are not its first.
 UNMAPPED, FURTHER = 4, 256 | 2048
@@ -43,6 +43,17 @@ def covered_sites(sites: DataFrame, least: int = 10) -> DataFrame:
     return sites.where(F.col("coverage") >= least).select("chr", F.col("site").alias("start"), F.col("methylated").alias("cnt"))
 
 
+def methylation(sites: DataFrame, features: DataFrame) -> DataFrame:
+    """Sum and number of covered sites (chr, start, cnt) in each feature, whatever its strand; features without any go.
+
+    Sums are of decimals with twelve places, so that they do not depend on the order of sites.
+    """
+    value = F.col("cnt").cast("decimal(18,12)")
+    values = {"methylated": F.coalesce(value, F.lit(0).cast("decimal(18,12)")), "known": F.col("cnt").isNotNull().cast("long"), "sites": F.lit(1)}
+    sums = totals_in(sites, features, "start", "feature_start", "feature_end", values, ["feature_id"], keys=("chr",)).where("sites > 0")
+    return sums.select("feature_id", F.when(F.col("known") > 0, F.round(F.col("methylated").cast("double"), 4)).alias("methylated"), "sites")
+
+
 def ingest_isoforms(isoforms: DataFrame, transcripts: DataFrame, genes: DataFrame) -> DataFrame:
     """Expressed isoforms of a caller as transcript calls (M9).
 
@@ -67,8 +78,8 @@ def reference_of_coding(psite: DataFrame, genes: DataFrame, noncoding: DataFrame
     """
     hit = overlaps(genes, noncoding, "gene_id", "nc_id", "gene_start", "gene_end", keys=("chr",)).select("gene_id").distinct()
     clean = exons.join(hit, "gene_id", "left_anti").join(genes.select("gene_id").distinct(), "gene_id", "left_semi")
-    reads = points_in(psite.where(F.col("rpf").between(*lengths)), clean, "start", "exon_start", "exon_end")
-    sums = reads.groupBy("rpf").agg(F.sum("cnt").alias("reads"))
+    reads = covers(psite.where(F.col("rpf").between(*lengths)), clean, "start", "exon_start", "exon_end", {"held": F.lit(1)}).where("held > 0")
+    sums = reads.groupBy("rpf").agg(F.sum(F.col("cnt") * F.col("held")).alias("reads"))
     return sums.crossJoin(F.broadcast(sums.agg(F.sum("reads").alias("all")))).select("rpf", F.round(F.col("reads") / F.col("all"), 6).alias("ref"))
 
 
