@@ -253,7 +253,8 @@ def rna_positions(spark, sf_dir):
 @query(_with("psite", "exons") + f""", {_CDNA}, h as (select transcript_id, rpf, cast(sum(cnt) as bigint) n from psite p join cd c on p.chr = c.chr and p.strand = c.strand and p.start between exon_start and exon_end group by 1, 2),
 f as (select *, n / sum(n) over (partition by transcript_id) f from h) select rpf, round(sum(f) / (select count(distinct transcript_id) from h), 6) ref from f group by 1""")
 def reference_distribution(spark, sf_dir):
-    return Q.reference_distribution(C.exon_hits(T.psite(spark, sf_dir), T.exons(spark, sf_dir)))
+    sums = C.length_sums(T.psite(spark, sf_dir), T.exons(spark, sf_dir), "transcript_id", "exon_start", "exon_end")
+    return Q.reference_distribution(sums.withColumnRenamed("reads", "cnt"))
 
 
 @query(_with("tracks") + """, s as (select sample, sum(cnt) z from tracks group by 1), f as (select sample, z / (select min(z) from s) f from s)
