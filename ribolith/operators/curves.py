@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ribolith.operators.ranges import running
+from ribolith.operators.ranges import running, staged
 
 
 def rolling_extreme(scores: DataFrame, key: str = "feature_id", reads: str = "nreads", score: str = "floss", width: int = 200, block: int = 20_000) -> DataFrame:
@@ -14,6 +14,7 @@ def rolling_extreme(scores: DataFrame, key: str = "feature_id", reads: str = "nr
     Ranks come from one row for each distinct count. Rows are then cut into blocks of `block` ranks, each with the
     `width` - 1 rows before it, so that no task sees the whole order. `rank` is that of a window's last row.
     """
+    scores = staged(scores.select(key, reads, score))  # read by the counts, by the cuts of their order and by the rows
     by = scores.groupBy(reads).agg(F.count("*").alias("n"))
     by = running(by, reads, {"before": F.col("n")})
     rows = scores.select(key, reads, score).join(by.drop("n"), reads)
