@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ribolith.operators.alignments import cigar_ops, strand_of
+from ribolith.operators.ranges import staged
 from ribolith.operators.smoothing import local_regression
 
 
@@ -100,7 +101,7 @@ def floss_cutoff(windows: DataFrame, span: float = 0.75) -> DataFrame:
     The numbers come from a range that Spark makes, and each reads its cell of the curve, so that nothing follows the range's
     length. Windows without reads take no part; without windows there are no cutoffs.
     """
-    rows = windows.where("mean_reads > 0").select(F.log10("mean_reads").alias("x"), F.col("extreme").alias("y"), "mean_reads")
+    rows = staged(windows.where("mean_reads > 0").select(F.log10("mean_reads").alias("x"), F.col("extreme").alias("y"), "mean_reads"))  # read by each pass of the fit
     lo, hi = rows.agg(F.min("mean_reads"), F.max("mean_reads")).first()
     numbers = windows.sparkSession.range(math.ceil(lo) if lo else 0, math.floor(hi) + 1 if hi else 0)
     curve = local_regression(rows, span)
@@ -132,8 +133,8 @@ def coherence(profiles: DataFrame, width: int = 30, step: int = 3) -> DataFrame:
 
         for batch in batches:
             out = []
-            for p in batch.column("profile").to_pylist():
-                x = np.array(p or [], "float64")
+            for p in map(_numbers, batch.column("profile")):
+                x = np.array([] if p is None else p, "float64")
                 if len(x) < width:
                     out.append((None, None, None, None, int(np.argmax([x[i::3].sum() for i in range(3)])) if len(x) else None))
                     continue
@@ -147,11 +148,32 @@ def coherence(profiles: DataFrame, width: int = 30, step: int = 3) -> DataFrame:
     return profiles.select("transcript_id", "profile").mapInArrow(run, schema)
 
 
+def _numbers(value):
+    """The doubles of an array of a batch, None for null."""
+    return value.values.to_numpy(zero_copy_only=False) if value.is_valid else None
+
+
 def profiles(hits: DataFrame, sizes: DataFrame) -> DataFrame:
     """(transcript_id, profile): reads of every base of a transcript, zeros where none; as long as the transcript."""
-    pairs = hits.groupBy("transcript_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("cdna").cast("long"), F.col("cnt").cast("double")))).alias("m"))
-    each = F.transform(F.sequence(F.lit(1), F.col("length")), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    return sizes.join(pairs, "transcript_id").select("transcript_id", each.alias("profile"))
+    pairs = hits.groupBy("transcript_id").agg(F.collect_list(F.struct(F.col("cdna").cast("long").alias("i"), F.col("cnt").cast("double").alias("n"))).alias("p"))
+    rows = sizes.join(pairs, "transcript_id").select("transcript_id", F.col("length").cast("long").alias("length"), F.col("p.i").alias("i"), F.col("p.n").alias("n"))
+    schema = T.StructType([rows.schema["transcript_id"], T.StructField("profile", T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for length, i, n in zip(batch.column("length").to_pylist(), batch.column("i"), batch.column("n")):
+                at, value = i.values.to_numpy(zero_copy_only=False), n.values.to_numpy(zero_copy_only=False)
+                inside = (at >= 1) & (at <= length)
+                out.append(np.bincount(at[inside] - 1, value[inside], length))
+            ends = np.cumsum([0, *map(len, out)], dtype="int32")
+            values = pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("transcript_id"), pa.ListArray.from_arrays(pa.array(ends), values)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def md_mismatches(df: DataFrame) -> DataFrame:

@@ -200,7 +200,9 @@ c as (select substring(seq, cast(cdna - (cdna - 1) % 3 as integer), 3) codon, ca
 select codon, phase, reads, round(100 * reads / (sum(reads) over ()), 6) percent from c where length(codon) = 3""")
 def codon_usage(spark, sf_dir):
     seqs = T.dna(spark, sf_dir).select(F.col("doc_id").alias("transcript_id"), "seq")
-    return Q.codon_phase_counts(_hits(spark, sf_dir), T.exons(spark, sf_dir).select("transcript_id").distinct().join(seqs, "transcript_id"))
+    exons = T.exons(spark, sf_dir).join(seqs.select("transcript_id"), "transcript_id", "left_semi")  # others have no codons
+    hits = C.exon_hits(C.merged(T.psite(spark, sf_dir)), exons)
+    return Q.codon_phase_counts(hits, exons.select("transcript_id").distinct().join(seqs, "transcript_id"))
 
 
 @query(_with("psite", "exons") + f""", {_HIT}, s as (select transcript_id, sum(cnt) reads, max(cnt) top from hit group by 1),
