@@ -53,6 +53,7 @@ def poly_regression(df: DataFrame, x: str, y: str) -> DataFrame:
     the coefficients are null.
     """
     rows = df.where((F.col(x) > 0) & (F.col(y) > 0)).select(F.col(x).cast("double").alias("x"), F.log10(y).alias("y"))
+    rows = staged(rows)  # read for the means and for the sums
     rows = rows.crossJoin(F.broadcast(rows.agg(F.avg("x").alias("mx"), F.avg("y").alias("my")))).selectExpr("x - mx u", "y - my v", "mx", "my")
     sums = rows.selectExpr("u", "v", "u * u uu", "mx", "my").agg(
         F.count("*").alias("n"), F.sum("uu").alias("s2"), F.sum(F.expr("uu * u")).alias("s3"), F.sum(F.expr("uu * uu")).alias("s4"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ribolith.operators import counts as C
 from ribolith.operators import expression as E
 from ribolith.operators import intervals as J
+from ribolith.operators import quality as Q
 from ribolith.operators import variants as V
 
 
@@ -71,3 +72,42 @@ def test_methylation_without_values(spark):
     sites = spark.createDataFrame([(1, 5, None), (1, 6, 0.1), (1, 6, 0.2), (1, 50, None)], "chr long, start long, cnt double")
     spans = spark.createDataFrame([(1, 1, 0, 10), (2, 1, 40, 60), (3, 1, 70, 80)], "feature_id long, chr long, feature_start long, feature_end long")
     assert sorted(map(tuple, E.methylation(sites, spans).collect())) == [(1, 0.3, 3), (2, None, 1)]
+
+
+def test_local_maxima_of_short_exons_equal_a_plain_loop(spark):
+    r = random.Random(3)
+    exons, points = [], [("1", s, p, r.randint(1, 4)) for s in (1, -1) for p in range(0, 9000) if r.random() < 0.7]
+    for t in range(60):
+        at = r.choice([r.randint(0, 300), r.randint(4000, 4090)])
+        strand = r.choice([1, -1])
+        parts = []
+        for _ in range(r.randint(1, 4)):
+            z = at + r.choice([0, 1, 3, 5, 6, 11, 12, 13, 40])
+            parts.append((at, z))
+            at = z + r.randint(1, 9)
+        exons += [(t, "1", strand, k if strand == 1 else len(parts) + 1 - k, *p) for k, p in enumerate(parts, 1)]
+    want, count = [], {(s, p): n for _, s, p, n in points}
+    for t in range(60):
+        own = sorted((x for x in exons if x[0] == t), key=lambda x: x[3])
+        bases = [p for x in own for p in (range(x[4], x[5] + 1) if x[2] == 1 else range(x[5], x[4] - 1, -1))]
+        line = {i: count[own[0][2], p] for i, p in enumerate(bases, 1) if (own[0][2], p) in count}
+        want += [(t, i, n) for i, n in line.items() if n >= max(line.get(i + d, 0) for d in range(-3, 4))]
+    p = spark.createDataFrame(points, "chr string, strand int, start long, cnt long")
+    e = spark.createDataFrame(exons, "transcript_id long, chr string, strand int, rank int, exon_start long, exon_end long")
+    assert sorted(map(tuple, C.local_maxima(p, e).collect())) == sorted(want)
+
+
+def test_profile_is_as_long_as_the_transcript(spark):
+    hits = spark.createDataFrame([(1, 2, 5), (1, 60_000, 7)], "transcript_id long, cdna long, cnt long")
+    sizes = spark.createDataFrame([(1, 60_001), (2, 3)], "transcript_id long, length long")
+    rows = Q.profiles(hits, sizes).collect()
+    assert [r["transcript_id"] for r in rows] == [1] and len(rows[0]["profile"]) == 60_001
+    assert {i: v for i, v in enumerate(rows[0]["profile"], 1) if v} == {2: 5.0, 60_000: 7.0}
+
+
+def test_overlapping_pairs_come_once(spark):
+    spans = spark.createDataFrame([(1, "1", 1, 0, 9000), (2, "1", 1, 500, 8000), (3, "1", 1, 8001, 8002)], "id long, chr string, strand int, a long, b long")
+    other = spans.withColumnRenamed("id", "other")
+    for unique in (True, False):
+        assert sorted(map(tuple, J.overlaps(spans, other, "id", "other", "a", "b", unique=unique).where("id < other").collect())) == [(1, 2), (1, 3)]
+    assert "HashAggregate" not in J.overlaps(spans, other, "id", "other", "a", "b", unique=True)._jdf.queryExecution().executedPlan().toString()
