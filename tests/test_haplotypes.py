@@ -91,3 +91,13 @@ def test_odd_variants(spark):
     assert sorted((r["orf_id"], r["tr_pos"], r["alt"], r["reason"]) for r in out.collect()) == [(1, 0, "C", "position"), (1, 4, "G", "copy"), (1, 10, "C", "position"), (4, 1, "C", "position")]
     whole, out = H.apply_variants(orfs, variants.where("false"))
     assert whole.count() == 3 and out.count() == 0
+
+
+def test_sequences_are_not_grouped(spark):
+    """Equal haplotypes are told by their options: sequences of haplotypes meet no shuffle."""
+    orfs = spark.createDataFrame([(1, "ATGACGTAA")], "orf_id long, seq string")
+    variants = spark.createDataFrame([(1, 4, "ACG", "A", 1.0), (1, 5, "C", "G,T", 0.5)], "orf_id long, tr_pos long, ref string, alt string, af double")
+    rows = H.apply_variants(orfs, variants)[0]
+    assert [tuple(r)[:4] for r in rows.collect()] == [(1, 0, "ATGATAA", -2)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Aggregate" in line and "seq" in line for line in plan.splitlines())
