@@ -9,6 +9,7 @@ from ribolith.operators import database as D
 from ribolith.operators import intervals as J
 from ribolith.operators import startsites as P
 from ribolith.operators import variants as V
+from ribolith.operators.proteoforms import variant_descriptions
 from ribolith.sources import files as W
 
 
@@ -117,3 +118,11 @@ def test_groups_without_subsets(spark):
     want = {(i, len(s)) for s, i in first.items() if not any(s < t for t in first)}
     assert {(r["protein_id"], r["n"]) for r in I.without_subsets(df).collect()} == want
     assert I.without_subsets(df.where("false")).count() == 0
+
+
+def test_variant_descriptions_stay_in_their_row(spark):
+    rows = [(1, "MKIACDEF", "MKLACDEF"), (2, "--MKAAQ", "MLMK--Q"), (3, "MK", "MK"), (4, None, "MK"), (5, "MKéW", "MK-L"), (6, "MKA", "MC")]
+    made = variant_descriptions(spark.createDataFrame(rows, "id long, a string, b string"), keep=("b",))
+    got = {r["id"]: (r["simple"], r["complex"]) for r in made.collect()}
+    assert got == {1: ("3|I", ""), 2: ("", "1|2|;4|4|AA"), 3: ("", ""), 4: ("", ""), 5: ("", "2|3|éW"), 6: ("2|K", "")}
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
