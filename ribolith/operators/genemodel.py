@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ribolith.operators.graphs import components
 from ribolith.operators.intervals import EXON_BIN, points_in, with_cdna
+from ribolith.operators.ranges import staged
+
+#: Times that a structure's number passes over starts and stops before links are joined.
+ROUNDS = 3
 
 
 def coding_transcripts(genes: DataFrame, transcripts: DataFrame, translations: DataFrame) -> DataFrame:
@@ -115,19 +119,25 @@ def _first(df: DataFrame, group: list[str], *order: Column) -> DataFrame:
 def structure_groups(orfs: DataFrame) -> DataFrame:
     """`orfs` with `structure`: records of one transcript that share start or stop, also over others, form one.
 
-    The structure's number is the least orf_id in it. Each record is linked to the least one with its start and the least one with its stop, so links
-    are at most two for each; their connected components are the structures, whatever the length of a chain. A null start or
-    stop is shared with none.
+    The structure's number is the least orf_id in it. Rows are dealt by transcript once; the least number passes between those that share a
+    start and those that share a stop, some times within that deal. What it has not reached by then (long chains) is left as links
+    between numbers, of which the connected components are taken, whatever the length of a chain. A null start or stop is shared with none.
     """
-    kept = orfs.select("orf_id", "transcript_id", "start", "stop")
-    links = None
-    for side in ("start", "stop"):
-        first = kept.groupBy("transcript_id", side).agg(F.min("orf_id").alias("b"))
-        own = kept.join(first, ["transcript_id", side]).select(F.col("orf_id").alias("a"), "b")
-        links = own if links is None else links.unionByName(own)
-    found = components(links).withColumnRenamed("root", "structure")
-    out = orfs.join(found, orfs["orf_id"] == found["node"], "left").drop("node")
-    return out.withColumn("structure", F.coalesce("structure", "orf_id"))
+    found = orfs.repartition("transcript_id").withColumn("structure", F.col("orf_id"))
+    for side in ("start", "stop") * ROUNDS:
+        shared = Window.partitionBy("transcript_id", side)
+        known = F.col("transcript_id").isNotNull() & F.col(side).isNotNull()
+        found = found.withColumn("structure", F.when(known, F.min("structure").over(shared)).otherwise(F.col("structure")))
+    # after the last side all that share a stop agree
+    shared = Window.partitionBy("transcript_id", "start")
+    known = F.col("transcript_id").isNotNull() & F.col("start").isNotNull()
+    found = staged(found.withColumn("__least", F.when(known, F.min("structure").over(shared)).otherwise(F.col("structure"))))
+    links = found.where("__least <> structure").select(F.col("structure").alias("a"), F.col("__least").alias("b"))
+    found = found.drop("__least")
+    if links.isEmpty():
+        return found
+    roots = components(links)
+    return found.join(roots, found["structure"] == roots["node"], "left").withColumn("structure", F.coalesce("root", "structure")).drop("node", "root")
 
 
 def structure_order(structures: DataFrame) -> DataFrame:

@@ -43,3 +43,13 @@ def test_structures_with_nulls(spark):
     made = structure_groups(orfs)
     assert {r["orf_id"]: r["structure"] for r in made.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 3}
     assert {(r["transcript_id"], r["structure"], r["members"], r["number"]) for r in structure_order(made).collect()} == {(1, 1, 2, 1), (1, 3, 2, 2), (2, 4, 1, 1), (None, 5, 1, 1)}
+
+
+def test_short_chains_take_no_rounds(spark, monkeypatch):
+    """Chains of some links are told within one deal of the rows; only longer ones need components."""
+    from ribolith.operators import genemodel
+
+    monkeypatch.setattr(genemodel, "components", None)
+    rows = [(9, 1, 1, 1), (4, 1, 1, 2), (7, 1, 2, 2), (2, 1, 2, 3), (3, 1, 4, 4), (1, 2, 1, 1)]
+    made = structure_groups(spark.createDataFrame(rows, "orf_id long, transcript_id long, start long, stop long"))
+    assert {r["orf_id"]: r["structure"] for r in made.collect()} == {9: 2, 4: 2, 7: 2, 2: 2, 3: 3, 1: 1}
