@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Folders of a registry: one for each call, in the order of the calls.
+_CALL = "call"
+
+
 def escaped(text: Column) -> Column:
     """Text of an annotation: backslashes, brackets and bars get a backslash, line breaks become spaces."""
     return F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"([\\()|])", r"\\$1"), r"[\r\n]+", " ")
@@ -61,20 +68,23 @@ def write_peff(entries: DataFrame, path: str, parts: int | None = None) -> None:
 
 
 def register(rows: DataFrame, path: str, key: str = "id") -> None:
-    """Adds analyses to the registry at `path` (S14): a folder for each id, which the caller gives.
+    """Adds analyses to the registry at `path` (S14): a folder for each call, so that files follow the rows and not the ids.
 
-    An id that is there is replaced, so that a repeated or retried job leaves one row. Of rows that repeat an id in one call the least stays;
-    null ids go. Other ids' rows are not read.
+    An id that is there is replaced when the registry is read, so that a repeated or retried job leaves one row. Of rows that repeat an id in
+    one call the least stays; null ids go. Other calls' rows are not read.
     """
     others = [c for c in rows.columns if c != key]
     one = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("r")).select(*(F.col(f"r.{c}").alias(c) for c in others), key)
-    one.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    one.write.parquet(f"{path}/{_CALL}={time.time_ns():020d}-{uuid.uuid4().hex}")
 
 
 def read_registry(spark: SparkSession, path: str, key: str = "id", kind: T.DataType | None = None) -> DataFrame:
-    """All analyses, their ids as text or as `kind`."""
+    """All analyses, of each id that of its last call; their ids as text or as `kind`."""
     rows = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
-    return rows.withColumn(key, F.col(key).cast(kind or T.StringType()))
+    rows = rows.withColumn(key, F.col(key).cast(kind or T.StringType()))
+    others = [c for c in rows.columns if c not in (key, _CALL)]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*others), F.col(_CALL).cast("string")).alias("r"))
+    return last.select(*(F.col(f"r.{c}").alias(c) for c in others), key)
 
 
 def export_registry(rows: DataFrame, path: str, key: str = "id") -> None:
