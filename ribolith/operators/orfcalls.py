@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ribolith.functions.sequence import NEAR_COGNATE, translate_codons
+from ribolith.functions.sequence import NEAR_COGNATE, translated
 from ribolith.operators.intervals import points_in
 
 _LOCATION = r"^(.+)([+-]):(\d+-\d+(?:\|\d+-\d+)*)$"
@@ -92,9 +92,12 @@ def checked(calls: DataFrame, sequences: DataFrame) -> DataFrame:
 
     The protein starts with M where the start codon is ATG or one base off. Frames without a sequence have the status no_sequence.
     """
-    rows = calls.join(sequences.select("orf_id", "seq"), "orf_id", "left")
-    whole = translate_codons(F.col("seq"), to_stop=False)
-    rows = rows.withColumn("aa", whole)
+    return with_status(calls.join(sequences.select("orf_id", "seq"), "orf_id", "left"))
+
+
+def with_status(rows: DataFrame) -> DataFrame:
+    """Rows (start_codon, seq, …) with aa and status as in `checked`, for calls that bring their sequence."""
+    rows = rows.withColumn("aa", translated(F.col("seq")))
     stop = F.instr("aa", "*")
     status = (
         F.when(F.col("seq").isNull(), "no_sequence").when(F.substring("seq", 1, 3) != F.coalesce("start_codon", F.lit("")), "Unmatching_start_codon")

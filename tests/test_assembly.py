@@ -139,3 +139,23 @@ def test_registry(spark, tmp_path):
     B.export_registry(rows.select("id", "local_max", "filter"), str(tmp_path / "out"))
     text = [f.read_text().split("\n") for f in sorted((tmp_path / "out").glob("part-*"))]
     assert {t[0] for t in text if t[0]} == {"id\tlocal_max\tfilter"} and [x for t in text for x in t[1:] if x] == ["1\t1\tnone", "2\t3\tccds", "10\t5\t"]
+
+
+def test_registry_files_follow_calls(spark, tmp_path):
+    """A call writes a folder whatever the number of its ids."""
+    path = tmp_path / "many"
+    rows = spark.range(500).select("id", F.lit(1).alias("local_max"))
+    for _ in range(2):
+        B.register(rows.withColumn("local_max", F.col("id") + F.lit(_)), str(path))
+    assert len([p for p in path.iterdir() if p.is_dir()]) == 2
+    assert [tuple(r) for r in B.read_registry(spark, str(path)).agg(F.count("*"), F.sum(F.col("local_max") - F.col("id").cast("long"))).collect()] == [(500, 500)]
+
+
+def test_frames_are_made_once(spark):
+    """Calls that bring their sequence meet no join."""
+    from ribolith.operators import orfcalls as O
+
+    rows = spark.createDataFrame([(1, "ATG", "ATGAAATAA"), (2, "CTG", "ATGAAATAA"), (3, "ATG", None)], "k long, start_codon string, seq string")
+    made = O.with_status(rows)
+    assert {r["k"]: (r["status"], r["aa"]) for r in made.collect()} == {1: ("ok", "MK*"), 2: ("Unmatching_start_codon", "MK*"), 3: ("no_sequence", None)}
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()

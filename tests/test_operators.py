@@ -126,3 +126,9 @@ def test_variant_descriptions_stay_in_their_row(spark):
     got = {r["id"]: (r["simple"], r["complex"]) for r in made.collect()}
     assert got == {1: ("3|I", ""), 2: ("", "1|2|;4|4|AA"), 3: ("", ""), 4: ("", ""), 5: ("", "2|3|éW"), 6: ("2|K", "")}
     assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_translated_columns_equal_translated_codons(spark):
+    rows = [("ATGAAATAA",), ("ATGNNNCTNTAACT",), ("",), (None,), ("aTGéTG",), ("AC",)]
+    got = spark.createDataFrame(rows, "seq string").select(S.translated("seq").alias("a"), S.translate_codons(F.col("seq"), to_stop=False).alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got] == ["MK*", "MXL*", "", None, "XX", ""]
