@@ -26,8 +26,8 @@ CHUNK = 1 << 15
 WIDE = 4
 #: Share of bits in which fingerprints of word pairs differ at a similarity of 0.8 of five-word shingles (measured), and the chance that such a pair shares no block.
 PAIR_BITS, MISSED = 0.086, 0.01
-#: Nodes of a block that meet in a join, and nodes of a larger group that are compared in one task.
-CROWD, PART = 8, 2048
+#: Nodes of a block that meet in a join, nodes of a larger group that are compared in one task, and pairs for each node of that task that are listed.
+CROWD, PART, PAIRS = 8, 2048, 8
 
 
 def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
@@ -172,14 +172,14 @@ def block_plan(nodes: int) -> tuple[int, int]:
     return width, math.ceil(math.log(MISSED) / math.log(1 - (1 - PAIR_BITS) ** width))
 
 
-def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = CROWD) -> DataFrame:
+def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = CROWD, sets=None, similarity: float = 0.0) -> DataFrame:
     """Edges (a, b) between `nodes` (node, v0.., b0..) that share a block of b and whose fingerprints v differ in at most `distance` bits.
 
-    Nodes of a block that at most `crowd` share meet in a join of their names; fingerprints come to the pairs after. Larger groups are dealt into parts of
-    at most `PART` nodes by a hash, in an order of its own for each block. A part is compared in full in its task and gives the edges that connect it; one
-    node for each of its components goes on to the next round, until a group fits into one part. So no group is gathered and no pairs are
-    listed; only links between parts, of two nodes that no chain inside the parts joins to the ones that go on, can be missed in a block, and other blocks
-    deal the same nodes otherwise.
+    Nodes of a block that at most `crowd` share meet in a join of their names; fingerprints come to the pairs after. Larger groups are dealt into parts by a
+    hash, so that two parts have some `PART` nodes, and each two parts meet in a task of their own, which compares them in full; so no group is gathered.
+    All pairs of a task are edges while they are few (`PAIRS` a node). Where they are more, the task gives edges that connect what all pairs would: of those pairs
+    whose shingles, from `sets` (a function from nodes to rows (node, s)), have the `similarity`, if it is given, so that no edge that fails there hides another.
+    Work in a group grows with the square of its size, its memory does not.
     """
     verify = [f"v{k}" for k in range(WIDE)]
     width, count = block_plan(nodes.count())
@@ -193,21 +193,24 @@ def near_links(nodes: DataFrame, stage: Stage, distance: int, crowd: int = CROWD
     prints = lambda end: nodes.select(F.col("node").alias(end), *(F.col(v).alias(f"{end}{v}") for v in verify))
     apart = sum((F.bit_count(F.col(f"a{v}").bitwiseXOR(F.col(f"b{v}"))) for v in verify), F.lit(0))
     edges = stage.write(pairs.join(prints("a").hint("merge"), "a").join(prints("b").hint("merge"), "b").where(apart <= distance).select("a", "b"))
-    left = shared.where(F.col("n") > crowd).select("key", "node", "n")
-    turn = 0
-    while not left.isEmpty():
-        dealt = left.withColumn("part", F.pmod(F.xxhash64("key", "node", F.lit(turn)), F.ceil(F.col("n") / (PART // 2))).cast("int"))
-        rows = dealt.join(nodes.select("node", *verify).hint("merge"), "node")
-        made = rows.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_joined_parts(distance), "key long, a long, b long, n long")
-        made = stage.write(made)
-        edges = edges.unionByName(made.where("b is not null").select("a", "b"))
-        # nodes of groups that had one part only are done
-        heads = made.where(F.col("b").isNull() & (F.col("n") > PART // 2)).select("key", F.col("a").alias("node"))
-        if turn:  # what two rounds did not connect is split by eight more bits of v in each, so that rounds end
-            byte = _block(verify, 8 * (turn - 1) % (64 * WIDE), 8)
-            heads = heads.join(nodes.select("node", byte.alias("x")).hint("merge"), "node").select(F.xxhash64("key", "x").alias("key"), "node")
-        again = heads.join(heads.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").hint("merge"), "key")
-        left, turn = stage.write(again.select("key", "node", "n")), turn + 1
+    left = shared.where(F.col("n") > crowd).select("key", "node", F.when(F.col("n") > PART, F.ceil(F.col("n") / (PART // 2))).otherwise(1).cast("long").alias("parts"))
+    own, other = F.pmod(F.xxhash64("key", "node"), "parts"), F.col("other")
+    met = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).where((other != own) | (F.col("parts") == 1))
+    met = met.select("key", (F.least(own, other) * F.col("parts") + F.greatest(own, other)).alias("part"), "node")
+    tiled = lambda rows: rows.repartition("key", "part").sortWithinPartitions("key", "part")
+    kind = "key long, part long, a long, b long"
+    made = stage.write(tiled(met.join(nodes.select("node", *verify).hint("merge"), "node")).mapInArrow(_met_parts(distance), kind))
+    edges = edges.unionByName(made.where("b is not null").select("a", "b"))
+    dense = made.where("b is null").select("key", "part")
+    if not dense.isEmpty():
+        rows = stage.write(met.join(dense.hint("merge"), ["key", "part"]))
+        thick = nodes.select("node", *verify)
+        if sets is not None:
+            thick = thick.join(sets(rows.select("node").distinct()).hint("merge"), "node", "left")
+        else:
+            thick = thick.withColumn("s", F.lit(None).cast("array<int>"))
+        made = stage.write(tiled(rows.join(thick.hint("merge"), "node")).mapInArrow(_joined_parts(distance, similarity), kind))
+        edges = edges.unionByName(made.select("a", "b"))
     return edges.distinct()
 
 
@@ -220,37 +223,18 @@ def _block(words: list[str], at: int, width: int):
     return low if width == 64 else low.bitwiseAND((1 << width) - 1)
 
 
-def _joined_parts(distance: int):
-    """Edges that connect each part of the rows (key, part, node, n, v0..), which come sorted, and a row without b for one node of each component."""
+def _parts(solve, names: list[str]):
+    """A function over batches whose rows come sorted by (key, part): what `solve` gives for each part's columns `names`, as edges (key, part, a, b)."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        names = [f"v{k}" for k in range(WIDE)]
-
-        def solve(key, n, nodes, prints):
-            order = np.argsort(nodes)
-            nodes, prints = nodes[order], prints[order]
-            root, a, b = np.full(len(nodes), -1), [], []
-            for i in range(len(nodes)):  # breadth first from each node that is not reached yet
-                if root[i] >= 0:
-                    continue
-                root[i] = i
-                todo = [i]
-                while todo:
-                    at = todo.pop()
-                    open_ = np.flatnonzero(root < 0)
-                    near = open_[np.bitwise_count(prints[open_] ^ prints[at]).sum(axis=1) <= distance]
-                    root[near] = i
-                    todo += near.tolist()
-                    a += [nodes[at]] * len(near)
-                    b += nodes[near].tolist()
-            heads = nodes[np.flatnonzero(root == np.arange(len(nodes)))].tolist()
-            size = len(a) + len(heads)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([key] * size, pa.int64()), pa.array([int(x) for x in a] + heads, pa.int64()), pa.array(b + [None] * len(heads), pa.int64()), pa.array([n] * size, pa.int64())], names=["key", "a", "b", "n"]
-            )
+        def solved(held):
+            made = pa.Table.from_batches(held)
+            a, b = solve(made)
+            same = lambda c: pa.array(np.full(len(a), made.column(c)[0].as_py()), pa.int64())
+            return pa.RecordBatch.from_arrays([same("key"), same("part"), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["key", "part", "a", "b"])
 
         held, own = [], None
         for batch in batches:
@@ -259,19 +243,95 @@ def _joined_parts(distance: int):
             key, part = batch.column("key").to_numpy(), batch.column("part").to_numpy()
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(key)]
             for x, z in zip(cuts, cuts[1:]):
-                if own is not None and own[:2] != (key[x], part[x]):
-                    yield solve(int(own[0]), own[2], np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+                if own is not None and own != (key[x], part[x]):
+                    yield solved(held)
                     held = []
-                own = key[x], part[x], batch.column("n")[x].as_py()
-                piece = batch.slice(x, z - x)
-                held.append((piece.column("node").to_numpy(), np.stack([piece.column(v).to_numpy().view("uint64") for v in names], axis=1)))
+                own = key[x], part[x]
+                held.append(batch.slice(x, z - x).select(["key", "part", *names]))
         if own is not None:
-            yield solve(int(own[0]), own[2], np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+            yield solved(held)
         release()
 
     return run
 
 
+def _prints(table):
+    """The nodes of a part and their fingerprints, in order."""
+    import numpy as np
+
+    nodes = table.column("node").to_numpy()
+    order = np.argsort(nodes)
+    return order, nodes[order], np.stack([table.column(f"v{k}").to_numpy().view("uint64") for k in range(WIDE)], axis=1)[order]
+
+
+def _met_parts(distance: int):
+    """All pairs of each part of the rows (key, part, node, v0..) that differ in at most `distance` bits; one row without a and b if they are over `PAIRS` a node."""
+
+    def solve(table):
+        import numpy as np
+
+        _, nodes, prints = _prints(table)
+        a, b, n = [], [], 0
+        for i in range(len(nodes) - 1):
+            near = np.flatnonzero(np.bitwise_count(prints[i + 1 :] ^ prints[i]).sum(axis=1) <= distance) + i + 1
+            n += len(near)
+            if n > PAIRS * len(nodes):
+                return [None], [None]
+            a += [int(nodes[i])] * len(near)
+            b += nodes[near].tolist()
+        return a, b
+
+    return _parts(solve, ["node", *(f"v{k}" for k in range(WIDE))])
+
+
+def _joined_parts(distance: int, similarity: float):
+    """Edges that connect each part of the rows (key, part, node, v0.., s) as all pairs of `distance` bits and `similarity` of the sets `s` do; a null set is like any."""
+
+    def solve(table):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        order, nodes, prints = _prints(table)
+        sets = table.column("s").combine_chunks().take(order)
+        given = sets.is_valid().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(sets), 0).to_numpy(zero_copy_only=False))
+        flat = sets.flatten().to_numpy()
+        kinds, flat = np.unique(flat, return_inverse=True)
+        size = np.diff(np.append(0, ends))
+        mark = np.zeros(len(kinds), bool)
+
+        def alike(at, near):
+            """Which of the nodes `near` have the similarity to the node `at`."""
+            ok = ~given[near] | ~given[at]
+            some = near[~ok]
+            if len(some):
+                mark[flat[ends[at] - size[at] : ends[at]]] = True
+                n = size[some]
+                place = np.repeat(ends[some] - np.cumsum(n), n) + np.arange(n.sum())  # the places of their sets, one behind the other
+                both = np.bincount(np.repeat(np.arange(len(some)), n), mark[flat[place]], len(some))
+                mark[flat[ends[at] - size[at] : ends[at]]] = False
+                ok[~ok] = both >= similarity * (size[at] + n - both)
+            return near[ok]
+
+        reached, a, b = np.zeros(len(nodes), bool), [], []
+        for i in range(len(nodes)):  # breadth first from each node that is not reached yet
+            if reached[i]:
+                continue
+            reached[i] = True
+            todo = [i]
+            while todo:
+                at = todo.pop()
+                open_ = np.flatnonzero(~reached)
+                near = alike(at, open_[np.bitwise_count(prints[open_] ^ prints[at]).sum(axis=1) <= distance])
+                reached[near] = True
+                todo += near.tolist()
+                a += [int(nodes[at])] * len(near)
+                b += nodes[near].tolist()
+        return a, b
+
+    return _parts(solve, ["node", *(f"v{k}" for k in range(WIDE)), "s"])
+
+
 def shingle_sets(texts: list[bytes], width: int) -> list:
     """The distinct 32-bit hashes of each text's shingles of `width` words, sorted; fewer words are one shingle, none give none."""
     import numpy as np
@@ -287,13 +347,12 @@ def shingle_sets(texts: list[bytes], width: int) -> list:
     return out
 
 
-def verified(edges: DataFrame, nodes: DataFrame, df: DataFrame, stage: Stage, width: int, similarity: float) -> DataFrame:
-    """The `edges` (a, b) whose texts' sets of shingles have the Jaccard `similarity` at least.
+def node_sets(ends: DataFrame, nodes: DataFrame, df: DataFrame, width: int) -> DataFrame:
+    """(node, s) of the nodes `ends` (node, each once): the shingles of the row with the least doc_id. Nodes whose rows all lack one have no row.
 
-    A node's text is that of its row with the least doc_id; nodes whose rows all lack one keep their edges. Only nodes with an edge have their
-    text read, and only hashes of shingles travel further.
+    Only these nodes have their text read, and only hashes of shingles travel further.
     """
-    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "least", "th"), "node").where("least is not null")
+    ends = ends.join(nodes.select("node", "least", "th"), "node").where("least is not null")
 
     def run(batches):
         import pyarrow as pa
@@ -310,7 +369,15 @@ def verified(edges: DataFrame, nodes: DataFrame, df: DataFrame, stage: Stage, wi
         release()
 
     texts = df.select(F.col("doc_id").cast("long").alias("least"), F.xxhash64("text").alias("th"), "text").join(ends.hint("merge"), ["least", "th"]).select("node", "text")
-    sets = stage.write(texts.mapInArrow(run, "node long, s array<int>"))
+    return texts.mapInArrow(run, "node long, s array<int>")
+
+
+def verified(edges: DataFrame, nodes: DataFrame, df: DataFrame, stage: Stage, width: int, similarity: float) -> DataFrame:
+    """The `edges` (a, b) whose texts' sets of shingles have the Jaccard `similarity` at least.
+
+    A node's text is that of its row with the least doc_id; nodes whose rows all lack one keep their edges.
+    """
+    sets = stage.write(node_sets(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, df, width))
     own = lambda end: sets.select(F.col("node").alias(end), F.col("s").alias(f"s{end}")).hint("merge")
     met = edges.join(own("a"), "a", "left").join(own("b"), "b", "left")
     both = F.size(F.array_intersect("sa", "sb"))
@@ -337,7 +404,8 @@ def one_of_each(df: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
     named = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("l")
     nodes = thin.groupBy("node").agg(named, *(F.first(c).alias(c) for c in thin.columns if c not in ("node", "doc_id", "th")))
     nodes = stage.write(nodes.select("node", F.col("l.doc_id").alias("least"), F.col("l.th").alias("th"), *(c for c in nodes.columns if c not in ("node", "l"))))
-    edges = stage.write(near_links(nodes, stage, bits_apart(similarity)))
+    sets = lambda some: stage.write(node_sets(some, nodes, df, width))
+    edges = stage.write(near_links(nodes, stage, bits_apart(similarity), sets=sets, similarity=similarity))
     found = components(verified(edges, nodes, df, stage, width, similarity), stage)
     rooted = nodes.select("node", "least").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("id"), F.min("node").alias("one"))
